@@ -1,0 +1,5 @@
+"""Both jobs are one-shot batches, so there is no streaming operator.
+
+The functions and the row-wise operators are stateless and run no action, so they apply
+to a streaming DataFrame as they are.
+"""
