@@ -13,6 +13,7 @@ from datetime import datetime
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from recordmill.functions.strings import or_blank, stripped
 
@@ -142,7 +143,7 @@ def _parse_flexible(text: str) -> dict[str, str | None]:
         return {"value": None, "error": f"{type(exc).__name__}: {exc}"}
 
 
-@F.arrow_udf("struct<value:string,error:string>")
+@F.arrow_udf(from_arrow_type(_DATE_TYPE))
 def flexible_date(text: pa.Array) -> pa.Array:
     return pa.array(
         [None if v is None else _parse_flexible(v) for v in text.to_pylist()], type=_DATE_TYPE

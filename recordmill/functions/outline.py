@@ -13,6 +13,8 @@ from urllib.parse import urljoin
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from recordmill.functions.text import HIDDEN_ELEMENTS
 from recordmill.functions.urls import url_origin
@@ -74,12 +76,6 @@ _OUTLINE = pa.struct([
     ("canonical_link_error", pa.string()),
     ("error", pa.string()),
 ])
-_OUTLINE_DDL = (
-    "struct<headings:array<string>,authors:string,canonical_link:string,"
-    "labels:array<struct<label:string,value:string>>,"
-    "rows:array<struct<tables:array<int>,text:string,cells:array<string>,"
-    "all_heads:boolean,link:string,link_error:string>>,canonical_link_error:string,error:string>"
-)
 
 
 class _Element:
@@ -172,6 +168,9 @@ class _Page(HTMLParser):
     def handle_comment(self, data):
         self._joins = False
 
+    def parse_marked_section(self, i, report=1):
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         if self._hidden:
             return
@@ -263,7 +262,7 @@ def _outline(html: str | None, base: str | None) -> dict | None:
         return {"error": str(exc) or type(exc).__name__}
 
 
-@F.arrow_udf(_OUTLINE_DDL)
+@F.arrow_udf(from_arrow_type(_OUTLINE))
 def _outlines(html: pa.Array, base: pa.Array) -> pa.Array:
     return pa.array(
         [_outline(h.as_py(), b.as_py()) for h, b in zip(html, base)], type=_OUTLINE
@@ -280,7 +279,7 @@ def clean_node_text(html: Column) -> Column:
     return F.coalesce(_words(html), F.lit(""))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _words(html: pa.Array) -> pa.Array:
     def words(markup: str) -> str:
         page = _Page(markup)

@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from recordmill.functions.strings import or_blank, strip
 
@@ -91,7 +92,7 @@ def _visible_batch(values: Iterable[str | None]) -> pa.Array:
     return pa.array([None if v is None else _visible(v) for v in values], type=_MARKUP_TYPE)
 
 
-@F.arrow_udf("struct<value:string,error:string>")
+@F.arrow_udf(from_arrow_type(_MARKUP_TYPE))
 def visible_text(markup: pa.Array) -> pa.Array:
     """Visible text of a fragment, text nodes joined by one space; null stays null."""
     return _visible_batch(markup.to_pylist())
