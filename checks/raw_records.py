@@ -1,6 +1,7 @@
 """Messy raw records derived from ``documents`` and ``pages``.
 
-One SQL text serves Spark and DuckDB, so both sides start from the same rows. Whole texts
+One SQL text serves Spark and DuckDB, so both sides start from the same rows. Both tables
+grow with the data, so the join is a shuffled one. Whole texts
 are used: the title is a document's first line, the summary all that follows.
 """
 
@@ -74,7 +75,7 @@ SELECT
   CASE WHEN d % 13 = 0 THEN '' ELSE substr(md5(text), 1, 8) END AS content_hash_hint,
   concat('<p>', lang, '</p>') AS html_snippet
 FROM (
-  SELECT
+  SELECT /*+ MERGE(p) */
     doc_id AS d, n_chars AS n, text, lang, source, url,
     split_part(text, chr(10), 1) AS title,
     CAST(10000 + n_chars % 90000 AS STRING) AS main,
@@ -86,7 +87,7 @@ FROM (
     lpad(CAST(n_chars % 60 AS STRING), 2, '0') AS mi,
     split_part('Jan,Feb,Mar,Apr,May,Jun,Jul,Aug,Sep,Oct,Nov,Dec', ',',
                CAST(1 + n_chars % 12 AS INT)) AS mon
-  FROM {documents} LEFT JOIN {pages}
+  FROM {documents} LEFT JOIN {pages} AS p
     ON page_id = CAST(floor(doc_id / 3.0) AS BIGINT)
 ) AS base
 """

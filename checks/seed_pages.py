@@ -49,7 +49,7 @@ FROM (
 """
 
 _HTML_SQL = """
-SELECT s.seed_url, coalesce(p.page_no, 1) AS page_no,
+SELECT /*+ MERGE(s, p) */ s.seed_url, coalesce(p.page_no, 1) AS page_no,
   CASE WHEN broken AND s.c % 17 = 4 THEN CAST(NULL AS INT) WHEN broken THEN 404 ELSE 200 END AS http_status,
   CASE WHEN broken THEN CAST(NULL AS STRING) ELSE
     '<!DOCTYPE html><html><head><title>x</title>'

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
-from recordmill.functions.strings import or_blank, stripped
+from recordmill.functions.strings import let, or_blank, stripped
 
 # English month names as date prose writes them.
 MONTHS = {
@@ -28,87 +28,84 @@ TIME_HINT = r"[0-9]{1,2}:[0-9]{2}"
 # A full date has two numbers or one of six digits and more; anything less stays partial.
 _MAY_BE_FULL = r"[0-9][^0-9]+[0-9]|[0-9]{6}"
 
+# Parts the pieces of a recognised date; no date text holds it.
+_MARK = "\x01"
 _YEAR = r"([1-9][0-9]{3})"
-_CLOCK = r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]+))?)?(?: ?(Z|[+-](?:0[0-9]|1[0-4]):?[0-5][0-9]))?"
-_AFTER_DATE = rf"(?:[T ]{_CLOCK})?\z"
-# Each shape: its pattern, then the groups that hold year, month and day.
-_YEAR_FIRST = (rf"^{_YEAR}([-/])([0-9]{{1,2}})\2([0-9]{{1,2}}){_AFTER_DATE}", (1, 3, 4))
-_COMPACT = (rf"^{_YEAR}([0-9]{{2}})([0-9]{{2}})\z", (1, 2, 3))
-_YEAR_LAST = (
-    rf"^([0-9]{{1,2}})([-/.])([0-9]{{1,2}})\2{_YEAR}(?: {_CLOCK})?\z",
-    (4, 1, 3),
+_MONTH, _DAY = r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12][0-9]|3[01])"
+_CLOCK = (
+    r"([0-9]|[01][0-9]|2[0-3]):([0-5][0-9])(?::([0-5][0-9])(?:\.([0-9]+))?)?"
+    r"(?: ?(Z|[+-](?:0[0-9]|1[0-4]):?[0-5][0-9]))?"
 )
-_DAY_NAME = (rf"^([0-9]{{1,2}}) ([A-Za-z]+)\.? {_YEAR}(?: {_CLOCK})?\z", (3, 2, 1))
-_NAME_DAY = (rf"^([A-Za-z]+)\.? ([0-9]{{1,2}}),? {_YEAR}(?: {_CLOCK})?\z", (3, 1, 2))
-_FIRST_CLOCK_GROUP = {_YEAR_FIRST: 5, _YEAR_LAST: 5, _DAY_NAME: 4, _NAME_DAY: 4}
+_MAYBE_CLOCK = rf"(?: {_CLOCK})?\z"
+# Each shape, and the groups that hold year, month and day; the clock's five groups follow
+# the date's. Month comes first unless the first number cannot be a month.
+_SHAPES = [
+    (rf"^{_YEAR}([-/]){_MONTH}\2{_DAY}(?:[T ]{_CLOCK})?\z", (1, 3, 4), 5),
+    (rf"^{_MONTH}([-/.]){_DAY}\2{_YEAR}{_MAYBE_CLOCK}", (4, 1, 3), 5),
+    (rf"^(1[3-9]|2[0-9]|3[01])([-/.]){_MONTH}\2{_YEAR}{_MAYBE_CLOCK}", (4, 3, 1), 5),
+    (rf"^{_YEAR}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])()()()()()\z", (1, 2, 3), 4),
+    (rf"^{_DAY} ([A-Za-z]+)\.? {_YEAR}{_MAYBE_CLOCK}", (3, 2, 1), 4),
+    (rf"^([A-Za-z]+)\.? {_DAY},? {_YEAR}{_MAYBE_CLOCK}", (3, 1, 2), 4),
+]
 
 _DATE_TYPE = pa.struct([("value", pa.string()), ("error", pa.string())])
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(c, 2, "0")
+def date_pieces(c: Column) -> Column:
+    """Year, month, day and clock parts with marks between; other text only stripped."""
+    s = stripped(c)
+    for pattern, date_groups, clock in _SHAPES:
+        groups = (*date_groups, *range(clock, clock + 5))
+        # No shape matches text that already holds marks, so at most one applies.
+        s = F.regexp_replace(s, pattern, _MARK.join(f"${g}" for g in groups))
+    return s
 
 
-def _iso(year: Column, month: Column, day: Column, clock: Column | None) -> Column:
-    """ISO text of the parts; null when they form no calendar date or clock time."""
-    date = F.date_format(
-        F.try_to_date(F.concat_ws("-", year, _two(month), _two(day)), "yyyy-MM-dd"),
-        "yyyy-MM-dd",
-    )
-    return date if clock is None else F.concat(date, clock)
+def _two(c: Column) -> Column:
+    return F.lpad(c, 2, "0")
 
 
-def _clock_text(s: Column, pattern: str, first: int) -> Column:
-    """``THH:MM:SS[.ffffff][offset]``, blank without a clock, null when out of range."""
-    hour, minute, second, fraction, offset = (
-        F.regexp_extract(s, pattern, first + i) for i in range(5)
-    )
-    base = F.concat(
-        F.lit("T"), _two(hour), F.lit(":"), minute, F.lit(":"),
-        F.when(second == "", F.lit("00")).otherwise(second),
-    )
+def _clock_text(hour: Column, minute: Column, second: Column, fraction: Column, zone: Column) -> Column:
+    """``THH:MM:SS[.ffffff][offset]``, blank without a clock."""
     micros = F.rpad(F.substring(fraction, 1, 6), 6, "0")
-    zone = F.when(
-        offset.isin("Z", "-00:00", "-0000"), F.lit("+00:00")
-    ).otherwise(F.concat(F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, -2, 2)))
+    offset = F.when(zone.isin("Z", "-00:00", "-0000"), F.lit("+00:00")).otherwise(
+        F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2))
+    )
     # Fractions survive only next to an offset.
-    tail = F.when(offset == "", F.lit("")).when(
-        micros == "000000", zone
-    ).otherwise(F.concat(F.lit("."), micros, zone))
-    in_range = (
-        (hour.try_cast("int") < 24) & (minute < "60") & ((second == "") | (second < "60"))
+    tail = (
+        F.when(zone == "", F.lit(""))
+        .when(micros == "000000", offset)
+        .otherwise(F.concat(F.lit("."), micros, offset))
     )
-    return F.when(hour == "", F.lit("")).when(in_range, F.concat(base, tail))
-
-
-def _shape(s: Column, shape: tuple[str, tuple[int, int, int]], month_name=False) -> Column:
-    pattern, groups = shape
-    year, month, day = (F.regexp_extract(s, pattern, g) for g in groups)
-    if month_name:
-        names = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
-        month = F.try_element_at(names, F.lower(month)).cast("string")
-    if shape is _YEAR_LAST:
-        # Month first unless the first number cannot be a month.
-        swapped = _two(month) > "12"
-        month, day = F.when(swapped, day).otherwise(month), F.when(swapped, month).otherwise(day)
-    first = _FIRST_CLOCK_GROUP.get(shape)
-    clock = None if first is None else _clock_text(s, pattern, first)
-    return F.when(s.rlike(pattern), _iso(year, month, day, clock))
-
-
-def native_date(c: Column) -> Column:
-    """ISO text for the usual shapes, null for blank or any other input."""
-    s = stripped(c)
-    # The first character tells which shapes can apply, so most rows meet two patterns.
+    return F.when(hour == "", F.lit("")).otherwise(
+        F.concat(F.lit("T"), _two(hour), F.lit(":"), minute, F.lit(":"), F.rpad(second, 2, "0"), tail)
+    )
+
+
+def _iso(parts: Column) -> Column:
+    """ISO text of the pieces; null when they form no calendar date."""
+    names = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
+    named = F.try_element_at(names, F.lower(parts[1]))
+
+    def dated(month: Column) -> Column:
+        first = F.make_date(parts[0].try_cast("int"), month, F.lit(1))
+        return F.when(
+            parts[2].try_cast("int") <= F.dayofmonth(F.last_day(first)),
+            F.concat(
+                F.date_format(first, "yyyy-MM-"), _two(parts[2]),
+                _clock_text(*[parts[i] for i in range(3, 8)]),
+            ),
+        )
+
     return F.when(
-        s.rlike("^[0-9]"),
-        F.coalesce(
-            _shape(s, _YEAR_FIRST),
-            _shape(s, _YEAR_LAST),
-            _shape(s, _COMPACT),
-            _shape(s, _DAY_NAME, month_name=True),
-        ),
-    ).otherwise(_shape(s, _NAME_DAY, month_name=True))
+        F.size(parts) == 8,
+        let(F.coalesce(parts[1].try_cast("int"), named), dated),
+    )
+
+
+def native_date(pieces: Column) -> Column:
+    """ISO text of a usual shape, null for blank, impossible or any other input."""
+    return let(F.split(pieces, _MARK, -1), _iso)
 
 
 def _own_offsets_only(name, offset):
@@ -150,9 +147,14 @@ def flexible_date(text: pa.Array) -> pa.Array:
     )
 
 
-def parse_other_date(c: Column, native: Column) -> Column:
-    """``struct<value,error>`` for possible dates the native shapes left open, else null."""
-    return flexible_date(F.when(native.isNull() & c.rlike(_MAY_BE_FULL), stripped(c)))
+def parse_other_date(pieces: Column) -> Column:
+    """``struct<value,error>`` for possible dates of other shapes, else null.
+
+    A usual shape with an impossible date is no date in any reading, so it stays out.
+    """
+    return flexible_date(
+        F.when(~F.contains(pieces, F.lit(_MARK)) & pieces.rlike(_MAY_BE_FULL), pieces)
+    )
 
 
 def finish_date(native: Column, parsed: Column) -> Column:
@@ -160,5 +162,5 @@ def finish_date(native: Column, parsed: Column) -> Column:
 
 
 def normalize_date(c: Column) -> Column:
-    native = native_date(c)
-    return finish_date(native, parse_other_date(c, native))
+    pieces = date_pieces(c)
+    return finish_date(native_date(pieces), parse_other_date(pieces))

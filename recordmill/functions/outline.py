@@ -26,6 +26,7 @@ TITLE_SELECTORS = [
 AUTHOR_SELECTORS = [
     "#ContentPlaceHolder1_lbAutores", ".autores", ".proyecto-autores", "#autores",
 ]
+_SELECTORS = frozenset(TITLE_SELECTORS + AUTHOR_SELECTORS)
 LABEL_ELEMENTS = frozenset({"td", "th", "span", "label", "strong", "b", "dt"})
 VALUE_ELEMENTS = frozenset({"td", "dd", "span"})
 
@@ -97,12 +98,13 @@ class _Element:
         following = self.parent.children[self.place + 1:] if self.parent else []
         return next((e for e in following if not tags or e.tag in tags), None)
 
-    def matches(self, selector: str) -> bool:
-        if selector[0] == "#":
-            return self.attrs.get("id") == selector[1:]
-        if selector[0] == ".":
-            return selector[1:] in self.attrs.get("class", "").split()
-        return self.tag == selector
+    def selectors(self) -> list[str]:
+        """Every selector that picks this element."""
+        own = [self.tag]
+        if self.attrs:
+            own += ["#" + self.attrs["id"]] if self.attrs.get("id") else []
+            own += ["." + name for name in self.attrs.get("class", "").split()]
+        return own
 
 
 class _Page(HTMLParser):
@@ -189,8 +191,14 @@ class _Page(HTMLParser):
     def words(self, element: _Element) -> str:
         return " ".join(" ".join(self.texts(element)).split())
 
-    def first(self, selector: str) -> str | None:
-        return next((self.words(e) for e in self.elements if e.matches(selector)), None)
+    def first_texts(self) -> dict[str, str]:
+        """Text of the first element for each selector the rules name."""
+        found: dict[str, _Element] = {}
+        for element in self.elements:
+            for selector in element.selectors():
+                if selector in _SELECTORS:
+                    found.setdefault(selector, element)
+        return {selector: self.words(element) for selector, element in found.items()}
 
 
 def _resolved(base: str, link: str | None) -> tuple[str | None, str | None]:
@@ -229,6 +237,7 @@ def _label_facts(page: _Page) -> list[dict]:
 
 def _facts(html: str, base: str) -> dict:
     page = _Page(html)
+    texts = page.first_texts()
     numbers = {id(e): n for n, e in enumerate(e for e in page.elements if e.tag == "table")}
     rows = []
     for e in page.elements:
@@ -244,8 +253,8 @@ def _facts(html: str, base: str) -> dict:
     canonical = next((e for e in links if "canonical" in e.attrs.get("rel", "").split()), None)
     link, link_error = _resolved(base, canonical.attrs.get("href") if canonical else None)
     return {
-        "headings": [page.first(s) for s in TITLE_SELECTORS],
-        "authors": next((t for t in map(page.first, AUTHOR_SELECTORS) if t is not None), None),
+        "headings": [texts.get(s) for s in TITLE_SELECTORS],
+        "authors": next((texts[s] for s in AUTHOR_SELECTORS if s in texts), None),
         "canonical_link": link,
         "canonical_link_error": link_error,
         "labels": _label_facts(page),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.authors import normalize_authors
 from recordmill.functions.bulletin import normalize_bulletin
-from recordmill.functions.dates import finish_date, native_date, parse_other_date
+from recordmill.functions.dates import date_pieces, finish_date, native_date, parse_other_date
 from recordmill.functions.strings import first_non_empty, not_blank, or_blank
 from recordmill.functions.text import finish_text, parse_markup
 from recordmill.functions.urls import normalize_url
@@ -52,22 +52,22 @@ def _normalized(raw: DataFrame) -> DataFrame:
         conform_schema(raw)
         .withColumnsRenamed({"bulletin_number": "_raw_bulletin"})
         .withColumns({
-            "_published": native_date(F.col("published_at_raw")),
-            "_event": native_date(F.col("event_date_raw")),
+            "_published": date_pieces(F.col("published_at_raw")),
+            "_event": date_pieces(F.col("event_date_raw")),
         })
         .withColumns({
             "_title_parsed": parse_markup(F.col("title_raw")),
             "_summary_parsed": parse_markup(F.col("summary_raw")),
-            "_published_parsed": parse_other_date(F.col("published_at_raw"), F.col("_published")),
-            "_event_parsed": parse_other_date(F.col("event_date_raw"), F.col("_event")),
+            "_published_parsed": parse_other_date(F.col("_published")),
+            "_event_parsed": parse_other_date(F.col("_event")),
         })
     )
     return parsed.withColumns({
         "bulletin_number": normalize_bulletin(F.col("_raw_bulletin")),
         "title": finish_text(F.col("title_raw"), F.col("_title_parsed")),
         "summary": finish_text(F.col("summary_raw"), F.col("_summary_parsed")),
-        "published_at": finish_date(F.col("_published"), F.col("_published_parsed")),
-        "event_date": finish_date(F.col("_event"), F.col("_event_parsed")),
+        "published_at": finish_date(native_date(F.col("_published")), F.col("_published_parsed")),
+        "event_date": finish_date(native_date(F.col("_event")), F.col("_event_parsed")),
         "status": F.col("status_raw"),
         "initiative": F.col("initiative_raw"),
         "authors": normalize_authors(F.col("authors_raw")),
