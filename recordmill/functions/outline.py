@@ -7,7 +7,8 @@ holds events and what a label's value is are decided by column expressions on th
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -59,6 +60,22 @@ _RANK = {
 }
 _OTHER_RANK = 100
 
+# A comment, a declaration or stray end mark, or a tag; a tag with an unclosed quote ends at
+# its first ">".
+_TOKEN = re.compile(
+    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</[^a-zA-Z][^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>",
+    re.DOTALL,
+)
+_ATTRIBUTE = re.compile(
+    r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']*))"
+)
+# Elements whose content is text up to their end tag, whatever it looks like.
+_RAW_TEXT = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE)
+    for tag in ("script", "style", "title", "textarea")
+}
+
 _TEXTS = pa.list_(pa.string())
 _ROW = pa.struct([
     ("tables", pa.list_(pa.int32())),
@@ -79,6 +96,14 @@ _OUTLINE = pa.struct([
 ])
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Attribute values by lower-case name; the first of a repeated name wins."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
+
+
 class _Element:
     """An element and the span of its content in the page's element and text lists."""
 
@@ -94,9 +119,9 @@ class _Element:
             self.place = len(parent.children)
             parent.children.append(self)
 
-    def next_element(self, tags=None):
-        following = self.parent.children[self.place + 1:] if self.parent else []
-        return next((e for e in following if not tags or e.tag in tags), None)
+    def next_element(self) -> _Element | None:
+        around = self.parent.children if self.parent else []
+        return around[self.place + 1] if self.place + 1 < len(around) else None
 
     def selectors(self) -> list[str]:
         """Every selector that picks this element."""
@@ -107,30 +132,56 @@ class _Element:
         return own
 
 
-class _Page(HTMLParser):
+class _Page:
     """All elements and visible text nodes of a page in document order."""
 
     def __init__(self, html: str) -> None:
-        super().__init__(convert_charrefs=True)
         self.elements: list[_Element] = []
         self.text_nodes: list[str] = []
-        self._joins = False  # more text would continue the last text node
-        self._hidden = 0
         self.root = _Element("", {}, None, 0, 0)
         self._open = [self.root]
-        self.feed(html)
-        self.close()
+        self._hidden = 0
+        self._read(html)
         self._close_from(0)
 
-    def _close_from(self, depth):
-        for element in self._open[depth:]:
-            element.inside[1] = len(self.elements)
-            element.text_span[1] = len(self.text_nodes)
-            self._hidden -= element.tag in HIDDEN_ELEMENTS
-        del self._open[depth:]
+    def _read(self, html: str) -> None:
+        at = 0
+        while (token := _TOKEN.search(html, at)) is not None:
+            self._text(html[at:token.start()])
+            at = token.end()
+            slash, name, attributes = token.group(1, 2, 3)
+            if name is None:  # a comment or declaration only ends the text before it
+                continue
+            tag = name.lower()
+            if slash:
+                self._end(tag)
+                continue
+            self._start(tag, attributes)
+            if tag in _RAW_TEXT:
+                end = _RAW_TEXT[tag].search(html, at)
+                stop = end.start() if end else len(html)
+                self._text(html[at:stop])
+                at = stop
+        self._text(html[at:])
+
+    def _text(self, text: str) -> None:
+        if text and not self._hidden:
+            self.text_nodes.append(unescape(text) if "&" in text else text)
+
+    def _start(self, tag: str, attributes: str) -> None:
+        if tag in _ENDS:
+            self._end_implied(*_ENDS[tag])
+        element = _Element(
+            tag, _attributes(attributes) if "=" in attributes else {},
+            self._open[-1], len(self.elements) + 1, len(self.text_nodes),
+        )
+        self.elements.append(element)
+        self._open.append(element)
+        self._hidden += tag in HIDDEN_ELEMENTS
+        if tag in _VOID:
+            self._close_from(len(self._open) - 1)
 
-    def _end_implied(self, tag):
-        closes, stops = _ENDS.get(tag, ((), ()))
+    def _end_implied(self, closes, stops) -> None:
         cut = None
         for depth in range(len(self._open) - 1, 0, -1):
             if self._open[depth].tag in stops:
@@ -140,24 +191,7 @@ class _Page(HTMLParser):
         if cut is not None:
             self._close_from(cut)
 
-    def handle_starttag(self, tag, attrs):
-        self._joins = False
-        self._end_implied(tag)
-        first_wins = {k: v or "" for k, v in reversed(attrs)}
-        element = _Element(
-            tag, first_wins, self._open[-1], len(self.elements) + 1, len(self.text_nodes)
-        )
-        self.elements.append(element)
-        self._open.append(element)
-        self._hidden += tag in HIDDEN_ELEMENTS
-        if tag in _VOID:
-            self._close_from(len(self._open) - 1)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        self._joins = False
+    def _end(self, tag: str) -> None:
         rank = _RANK.get(tag, _OTHER_RANK)
         for depth in range(len(self._open) - 1, 0, -1):
             open_tag = self._open[depth].tag
@@ -167,20 +201,12 @@ class _Page(HTMLParser):
             if _RANK.get(open_tag, _OTHER_RANK) > rank:
                 return
 
-    def handle_comment(self, data):
-        self._joins = False
-
-    def parse_marked_section(self, i, report=1):
-        return self.parse_bogus_comment(i)
-
-    def handle_data(self, data):
-        if self._hidden:
-            return
-        if self._joins:
-            self.text_nodes[-1] += data
-        else:
-            self.text_nodes.append(data)
-        self._joins = True
+    def _close_from(self, depth: int) -> None:
+        for element in self._open[depth:]:
+            element.inside[1] = len(self.elements)
+            element.text_span[1] = len(self.text_nodes)
+            self._hidden -= element.tag in HIDDEN_ELEMENTS
+        del self._open[depth:]
 
     def within(self, element: _Element) -> list[_Element]:
         return self.elements[slice(*element.inside)]
@@ -225,14 +251,17 @@ def _row_facts(page: _Page, row: _Element, tables: list[int], base: str) -> dict
 
 def _label_facts(page: _Page) -> list[dict]:
     labels = []
-    for e in page.elements:
-        if e.tag not in LABEL_ELEMENTS:
-            continue
-        value = e.next_element(VALUE_ELEMENTS) or e.parent.next_element()
-        if value is not None:
-            name = "".join(t.strip() for t in page.texts(e))
-            labels.append({"label": name.lower(), "value": page.words(value)})
-    return labels
+    # Backwards, so that the nearest later sibling that may hold a value is at hand.
+    beside: dict[int, _Element] = {}
+    for e in reversed(page.elements):
+        if e.tag in LABEL_ELEMENTS:
+            value = beside.get(id(e.parent)) or e.parent.next_element()
+            if value is not None:
+                name = "".join(t.strip() for t in page.texts(e))
+                labels.append({"label": name.lower(), "value": page.words(value)})
+        if e.tag in VALUE_ELEMENTS:
+            beside[id(e.parent)] = e
+    return labels[::-1]
 
 
 def _facts(html: str, base: str) -> dict:
