@@ -94,28 +94,42 @@ def canonical_preference() -> Column:
     )
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """Adds the key and its digest, which has a fixed width whatever a title's length."""
-    keyed = _with_defaults(df).withColumn("_dup_key", duplicate_key())
+_HELPERS = ["_dup_key", "_key", "_prefer"]
+
+
+def with_group_columns(df: DataFrame) -> DataFrame:
+    """Adds what grouping reads: the key, its digest and the record's place in its group.
+
+    The digest has a fixed width whatever a title's length. A job that stages its records
+    adds these columns before, so that grouping need not read the texts again.
+    """
+    if all(c in df.columns for c in _HELPERS):
+        return df
+    keyed = _with_defaults(df).withColumns(
+        {"_dup_key": duplicate_key(), "_prefer": canonical_preference()}
+    )
     # Rows without a key spread by id instead of meeting in one partition.
     spread = F.coalesce("_dup_key", F.concat(F.lit(SINGLETON_KEY), or_blank(F.col("record_id"))))
     return keyed.withColumn("_key", F.unhex(F.sha2(spread, 256)))
 
 
 def _key_statistics(keyed: DataFrame) -> DataFrame:
-    return keyed.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_size"), F.min(canonical_preference()).alias("_best")
+    """``_key, _size, _kept_id`` of each key."""
+    statistics = keyed.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_prefer").alias("_best")
     ).select("_key", "_size", F.col("_best.record_id").alias("_kept_id"))
+    # Never null; asking for it keeps all readers on one aggregate, whose shuffle is reused.
+    return statistics.where(F.col("_kept_id").isNotNull())
 
 
 def select_canonical(df: DataFrame) -> DataFrame:
     """``duplicate_group_id, group_size, kept_record_id`` for each group of two or more."""
-    keyed = _keyed(df).where(F.col("_dup_key").isNotNull())
+    keyed = with_group_columns(df).where(F.col("_dup_key").isNotNull())
     return (
         keyed.groupBy("_key")
         .agg(
             F.count(F.lit(1)).alias("group_size"),
-            F.min(canonical_preference()).alias("_best"),
+            F.min("_prefer").alias("_best"),
             F.first("_dup_key").alias("_dup_key"),
         )
         .where(F.col("group_size") > 1)
@@ -130,14 +144,14 @@ def select_canonical(df: DataFrame) -> DataFrame:
 def assign_duplicate_groups(
     df: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Adds ``duplicate_group_id`` and ``is_canonical``; lazy, input columns unchanged.
+    """Adds ``duplicate_group_id`` and ``is_canonical``; lazy, other columns unchanged.
 
     The input is read once for the statistics and once or twice for the rows, so a costly
     input should be staged before.
     """
     if not 0.0001 <= hot_share <= 1:
         raise ValueError("hot_share must lie in [0.0001, 1]: it bounds what is broadcast")
-    keyed = _keyed(df)
+    keyed = with_group_columns(df)
     statistics = _key_statistics(keyed)
     total = statistics.agg(F.sum("_size").alias("total")).scalar()
     groups = statistics.where(F.col("_size") > 1)
@@ -153,7 +167,7 @@ def assign_duplicate_groups(
         F.concat(F.lit(SINGLETON_KEY), record_id)
     )
     return hot_part.unionByName(other_part).select(
-        *df.columns,
+        *[c for c in df.columns if c not in _HELPERS],
         stable_group_id(key).alias("duplicate_group_id"),
         F.when(grouped, record_id == F.col("_kept_id")).otherwise(F.lit(True)).alias("is_canonical"),
     )

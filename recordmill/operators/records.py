@@ -143,8 +143,9 @@ def evaluate_records(raw: DataFrame) -> DataFrame:
 
 def split_rejects(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid normalized rows and the reject table. Stage the input first: it is read twice."""
+    routing = {"rejection_reason", "raw_identifier_hint", "parse_failed"}
     valid = evaluated.where(F.col("rejection_reason") == "").select(
-        *[c for c in NORMALIZED_COLUMNS if c in evaluated.columns]
+        *[c for c in evaluated.columns if c not in routing]
     )
     rejected = evaluated.where(F.col("rejection_reason") != "").select(*REJECTED_COLUMNS)
     return valid, rejected

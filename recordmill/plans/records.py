@@ -6,7 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordmill.operators.dedup import assign_duplicate_groups, duplicate_clusters
+from recordmill.operators.dedup import (
+    assign_duplicate_groups,
+    duplicate_clusters,
+    with_group_columns,
+)
 from recordmill.operators.numbering import assign_canonical_ids
 from recordmill.operators.quality import quality_report
 from recordmill.operators.records import (
@@ -34,7 +38,9 @@ def run_records(raw: DataFrame) -> RecordResult:
     Normalization and the group join run once each: both results are staged, because
     several outputs read them. The HTML snippet is in no output and is left out.
     """
-    evaluated = stage(evaluate_records(raw).drop("html_snippet"), "evaluated")
+    evaluated = stage(
+        with_group_columns(evaluate_records(raw)).drop("html_snippet"), "evaluated"
+    )
     valid, rejected = split_rejects(evaluated)
     grouped = stage(assign_duplicate_groups(valid), "grouped")
     return RecordResult(

@@ -37,10 +37,24 @@ def test_no_cross_join_or_window_over_groups(valid):
 
 
 def test_statistics_are_combined_before_the_shuffle(valid):
-    text = plan(dedup._key_statistics(dedup._keyed(valid)))
+    text = plan(dedup._key_statistics(dedup.with_group_columns(valid)))
     assert "partial_count" in text and "partial_min" in text
 
 
+def test_statistics_are_shuffled_once(valid):
+    grouped = dedup.assign_duplicate_groups(valid, hot_rows=0)
+    grouped.collect()
+    final = plan(grouped).split("Initial Plan")[0]
+    assert final.count("partial_count(1)") == final.count("partial_min(") > 0
+
+
+def test_grouping_staged_records_reads_no_texts(spark, evaluated):
+    staged = stage(dedup.with_group_columns(evaluated), "keyed")
+    valid = records.split_rejects(staged)[0]
+    text = plan(dedup._key_statistics(dedup.with_group_columns(valid)))
+    assert "summary" not in text and "title" not in text
+
+
 def test_only_the_bounded_side_is_broadcast_by_hint(spark, valid):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
