@@ -49,7 +49,7 @@ FROM (
 """
 
 _HTML_SQL = """
-SELECT /*+ MERGE(s, p) */ s.seed_url, coalesce(p.page_no, 1) AS page_no,
+SELECT /*+ MERGE(s, p) */ s.seed_url, k.page_no,
   CASE WHEN broken AND s.c % 17 = 4 THEN CAST(NULL AS INT) WHEN broken THEN 404 ELSE 200 END AS http_status,
   CASE WHEN broken THEN CAST(NULL AS STRING) ELSE
     '<!DOCTYPE html><html><head><title>x</title>'
@@ -84,11 +84,11 @@ SELECT /*+ MERGE(s, p) */ s.seed_url, coalesce(p.page_no, 1) AS page_no,
        ELSE CAST(NULL AS STRING) END AS fetch_error
 FROM (
   SELECT *, page_no = 1 AND c % 17 IN (3, 4) AS broken FROM (
-    SELECT c, page_no FROM page_keys UNION SELECT c, 1 FROM {seeds}
+    SELECT c, page_no FROM {rows} UNION SELECT c, 1 FROM {seeds}
   ) AS wanted
 ) AS k
 JOIN {seeds} AS s ON s.c = k.c
-LEFT JOIN page_rows AS p ON p.c = k.c AND p.page_no = k.page_no
+LEFT JOIN {rows} AS p ON p.c = k.c AND p.page_no = k.page_no
 """
 
 _ROW_HTML = """
@@ -123,12 +123,7 @@ def seed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"(SELECT *, {_ROW_HTML} AS html FROM {{orders}}) GROUP BY c, page_no",
         orders=orders,
     )
-    html = (
-        _HTML_SQL.replace("coalesce(p.page_no, 1)", "k.page_no")
-        .replace("SELECT c, page_no FROM page_keys", "SELECT c, page_no FROM {rows}")
-        .replace("page_rows AS p", "{rows} AS p")
-    )
-    return spark.sql(html, seeds=page_seeds(spark, sf_dir), rows=rows)
+    return spark.sql(_HTML_SQL, seeds=page_seeds(spark, sf_dir), rows=rows)
 
 
 SEEDS = "seeds AS (" + SEED_SQL.format(customer="customer").strip() + ")"
