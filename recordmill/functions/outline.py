@@ -105,23 +105,22 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class _Element:
-    """An element and the span of its content in the page's element and text lists."""
+    """An element and the span of its content in the page's element and text lists.
 
-    __slots__ = ("tag", "attrs", "parent", "place", "children", "inside", "text_span")
+    References lead to parents and later siblings only, so a page is freed without a
+    cycle search.
+    """
+
+    __slots__ = ("tag", "attrs", "parent", "last_child", "next", "element_span", "text_span")
 
     def __init__(self, tag, attrs, parent, at_element, at_text):
         self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children: list[_Element] = []
-        self.place = 0
-        self.inside = [at_element, None]
-        self.text_span = [at_text, None]
+        self.last_child = self.next = None
+        self.element_span, self.text_span = at_element, at_text  # starts, spans once closed
         if parent is not None:
-            self.place = len(parent.children)
-            parent.children.append(self)
-
-    def next_element(self) -> _Element | None:
-        around = self.parent.children if self.parent else []
-        return around[self.place + 1] if self.place + 1 < len(around) else None
+            if parent.last_child is not None:
+                parent.last_child.next = self
+            parent.last_child = self
 
     def selectors(self) -> list[str]:
         """Every selector that picks this element."""
@@ -203,16 +202,17 @@ class _Page:
 
     def _close_from(self, depth: int) -> None:
         for element in self._open[depth:]:
-            element.inside[1] = len(self.elements)
-            element.text_span[1] = len(self.text_nodes)
+            element.element_span = slice(element.element_span, len(self.elements))
+            element.text_span = slice(element.text_span, len(self.text_nodes))
+            element.last_child = None
             self._hidden -= element.tag in HIDDEN_ELEMENTS
         del self._open[depth:]
 
     def within(self, element: _Element) -> list[_Element]:
-        return self.elements[slice(*element.inside)]
+        return self.elements[element.element_span]
 
     def texts(self, element: _Element) -> list[str]:
-        return self.text_nodes[slice(*element.text_span)]
+        return self.text_nodes[element.text_span]
 
     def words(self, element: _Element) -> str:
         return " ".join(" ".join(self.texts(element)).split())
@@ -255,7 +255,7 @@ def _label_facts(page: _Page) -> list[dict]:
     beside: dict[int, _Element] = {}
     for e in reversed(page.elements):
         if e.tag in LABEL_ELEMENTS:
-            value = beside.get(id(e.parent)) or e.parent.next_element()
+            value = beside.get(id(e.parent)) or e.parent.next
             if value is not None:
                 name = "".join(t.strip() for t in page.texts(e))
                 labels.append({"label": name.lower(), "value": page.words(value)})
