@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks.queries import ORACLE, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -21,10 +22,10 @@ def database(sf_dir):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) <= set(contract.queries()) & set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, database, name):
     df = contract.queries()[name](spark, sf_dir)
     relation = database.sql(contract.oracle_sql()[name])
