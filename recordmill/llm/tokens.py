@@ -52,6 +52,11 @@ def _table(kind: int, size: int) -> np.ndarray:
     return have
 
 
+def power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the polynomial's base and of its inverse."""
+    return _table(0, size), _table(1, size)
+
+
 @dataclass
 class Tokens:
     """Tokens of some texts: hashes, byte bounds in ``data``, and where each text begins."""
