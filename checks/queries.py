@@ -18,7 +18,7 @@ from recordmill.functions import authors as au
 from recordmill.functions import bulletin as bu
 from recordmill.functions import dates, outline, scoring, text, urls
 from recordmill.operators import dedup, numbering, pages, quality, records
-from recordmill.plans.pages import run_pages
+from recordmill.plans.pages import in_seed_order, run_pages
 from recordmill.plans.records import run_records
 from recordmill.schema import (
     CANONICAL_COLUMNS,
@@ -56,16 +56,23 @@ def _sql(columns: list[str]) -> str:
 
 @register(
     f"SELECT page_id AS id, 'page' AS kind, {q.text('html')} AS value FROM pages "
-    f"UNION ALL SELECT doc_id, 'document', {q.text('text')} FROM documents"
+    f"UNION ALL SELECT doc_id, 'document', {q.text('text')} FROM documents "
+    "UNION ALL SELECT doc_id, 'hidden', lang || ' tail ' || source FROM documents"
 )
 def normalize_text(spark, sf):
+    """Pages, plain texts, and hidden elements that only an outer element's end closes."""
+    hidden = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.lit("hidden").alias("kind"),
+        F.format_string(
+            "<div><template>x%s</div><ruby>%s<rt>%s<rp>(</ruby> tail <p>%s</p>", "source", "lang", "source", "source"
+        ).alias("raw"))
     markup = table(spark, sf, "pages").select(
         F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("raw")
     )
     plain = table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.lit("document").alias("kind"), F.col("text").alias("raw")
     )
-    return markup.unionByName(plain).select(
+    return markup.unionByName(plain).unionByName(hidden).select(
         "id", "kind", text.normalize_text(F.col("raw")).alias("value")
     )
 
@@ -322,7 +329,7 @@ def duplicate_key(spark, sf):
 @register(q.query(
     f"SELECT {_sql(q.NORMALIZED)}, duplicate_group_id, is_canonical FROM grouped", "grouped"))
 def assign_duplicate_groups(spark, sf):
-    return _grouped(spark, sf)
+    return _grouped(spark, sf).drop("group_digest")
 
 
 @register(q.query(
@@ -430,13 +437,14 @@ _SCRAPED = "2024-01-01T00:00:00+00:00"
 
 
 def _outlined(spark, sf):
-    return pages.outline_pages(seed_pages(spark, sf)).where(F.col("fetched"))
+    labels = [*pages.LABELS, "ESTADO"]
+    stored = pages.outline_pages(seed_pages(spark, sf), labels=labels).where(F.col("fetched"))
+    return stored.where(F.col("version") == 1)
 
 
 def _extracted(spark, sf):
-    return stage(
-        pages.extract_pages(seed_pages(spark, sf), scraped_at=F.lit(_SCRAPED)), "extracted"
-    )
+    extracted = pages.extract_pages(seed_pages(spark, sf), scraped_at=F.lit(_SCRAPED))
+    return stage(pages.latest_versions(extracted), "extracted")
 
 
 def _page():
@@ -515,16 +523,15 @@ def pick_event_table(spark, sf):
 
 
 @register(expected(
-    "SELECT p.seed_url, p.page_no, count(r.o) AS data_rows FROM page_facts p LEFT JOIN page_orders r "
-    "ON r.c = p.c AND r.page_no = p.page_no AND r.o >= p.first_o WHERE NOT broken GROUP BY 1, 2"))
+    "SELECT p.seed_url, p.page_no, CASE WHEN p.dated = 0 AND p.c % 5 = 0 THEN 1 ELSE count(r.o) END AS data_rows "
+    "FROM page_facts p LEFT JOIN page_orders r ON r.c = p.c AND r.page_no = p.page_no AND r.o >= p.first_o "
+    "WHERE NOT broken GROUP BY p.seed_url, p.page_no, p.dated, p.c"))
 def event_row_filter(spark, sf):
-    """Data rows of all tables of a page that has orders; the decoy table is left aside."""
-    rows = F.filter(
-        _page()["rows"], lambda r: ~F.startswith(r["text"], F.lit("01/01/1999otra"))
-    )
+    """Data rows of the chosen table; none without one."""
+    rows = pages.event_row_filter(pages.table_rows(_page(), F.col("event_table")))
     return _outlined(spark, sf).select(
         "seed_url", "page_no",
-        F.size(pages.event_row_filter(rows)).cast("bigint").alias("data_rows"))
+        F.when(F.col("event_table").isNull(), 0).otherwise(F.size(rows)).cast("bigint").alias("data_rows"))
 
 
 _EVENT_VALUES = [c for c in EVENT_COLUMNS if c not in ("seed_url", "bulletin_number", "row_order")]
@@ -562,15 +569,17 @@ def union_pages(spark, sf):
 
 _PAGE_REPORT = """
 , per_seed AS (
-  SELECT s.c, s.seed_url, s.c % 17 NOT IN (3, 4) AS fetch_ok,
+  SELECT s.c, s.seed_url, s.c % 17 NOT IN (3, 4, 6, 7) AS fetch_ok,
     s.c NOT IN (SELECT c FROM bad_seeds) AS good,
     (SELECT count(*) FROM all_events e WHERE e.c = s.c) AS n
-  FROM seeds s),
+  FROM seeds s WHERE s.c IN (SELECT c FROM wanted)),
 page_report AS (
   SELECT seed_url, fetch_ok, good AS parse_ok,
-    CAST(CASE c % 17 WHEN 3 THEN 404 WHEN 4 THEN NULL ELSE 200 END AS INTEGER) AS http_status,
+    CAST(CASE c % 17 WHEN 3 THEN 404 WHEN 6 THEN 500 WHEN 4 THEN NULL WHEN 7 THEN NULL ELSE 200 END AS INTEGER)
+      AS http_status,
     CAST(CASE WHEN good THEN n ELSE 0 END AS INTEGER) AS row_count,
     CASE WHEN c % 17 = 3 THEN 'HTTPError 404: Not Found' WHEN c % 17 = 4 THEN 'timed out'
+         WHEN c % 17 = 6 THEN 'HTTPError 500: ' WHEN c % 17 = 7 THEN 'no first page'
          WHEN NOT good THEN 'Parse error: Invalid IPv6 URL' END AS error_message
   FROM per_seed)
 """
@@ -607,12 +616,21 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 @register(ORACLE["conform_schema"])
 def read_records(spark, sf):
+    """Three folders of files: two orders of columns, and one column less."""
     folder = _folder(spark)
-    raw_records(spark, sf).write.csv(
-        folder, header=True, quote='"', escape='"', emptyValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
-    return readers.read_records(spark, folder)
+    raw = raw_records(spark, sf)
+    part, names = F.pmod(F.xxhash64("record_id"), F.lit(3)), raw.columns
+    written = {
+        "a": raw.where(part == 0),
+        "b": raw.where((part > 0) & (F.col("document_url_raw") != "")).select(*names[::-1]),
+        "c": raw.where((part > 0) & (F.col("document_url_raw") == "")).drop("document_url_raw"),
+    }
+    for name, df in written.items():
+        df.write.csv(
+            f"{folder}/{name}", header=True, quote='"', escape='"', emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    return readers.read_records(spark, [f"{folder}/{name}" for name in written])
 
 
 @register("SELECT CAST(0 AS BIGINT) AS bad_lines UNION ALL "
@@ -639,7 +657,7 @@ def read_seeds(spark, sf):
     table(spark, sf, "pages").select(
         F.concat(F.lit("# page\n   \n  "), F.col("url"), F.lit(" \n"))
     ).write.text(folder)
-    return readers.read_seeds(spark, folder)
+    return readers.read_seeds(spark, folder).select("seed_url")
 
 
 @register(_NUMBERED_SQL)
@@ -694,16 +712,18 @@ def write_events(spark, sf):
 
 @register(ORACLE["extract_report"])
 def write_extract_report(spark, sf):
+    """The report in the order of a shuffled list of seeds."""
     folder = _folder(spark)
     report = pages.extract_report(_extracted(spark, sf))
-    sinks.write_extract_report(report, folder)
+    seeds = report.select(F.md5("seed_url").alias("seed_no"), "seed_url")
+    sinks.write_extract_report(in_seed_order(report, seeds), folder)
     return spark.read.schema(report.schema).json(folder)
 
 
 @register(expected(
     "SELECT s.seed_url, w.page_no, CASE WHEN bulletin <> '' THEN bulletin "
     "ELSE 'prmBoletin__q_a_b_' || s.c END || '.html' AS page_file "
-    "FROM wanted w JOIN seeds s USING (c)"))
+    "FROM (FROM wanted UNION ALL SELECT c, 1 FROM seeds WHERE c % 17 = 9) w JOIN seeds s USING (c)"))
 def archive_pages(spark, sf):
     folder = _folder(spark)
     sinks.archive_pages(seed_pages(spark, sf), folder)

@@ -37,7 +37,7 @@ SELECT o, c, page_no, kind, priority, CAST(o AS STRING) AS key_text,
             ELSE 'Sin fecha ' || CAST(o AS STRING) END AS date_text
 FROM (
   SELECT o_orderkey AS o, o_custkey AS c, o_orderpriority AS priority,
-    CAST(1 + floor(o_orderkey / {keys_per_page}.0) AS INT) AS page_no,
+    CAST(1 + floor(o_orderkey / {keys_per_page}.0) AS INT) + CASE WHEN o_custkey % 17 = 7 THEN 1 ELSE 0 END AS page_no,
     CAST(o_orderkey % 4 AS INT) AS kind,
     CAST(year(o_orderdate) AS STRING) AS y,
     lpad(CAST(month(o_orderdate) AS STRING), 2, '0') AS m,
@@ -49,9 +49,10 @@ FROM (
 """
 
 _HTML_SQL = """
-SELECT /*+ MERGE(s, p) */ s.seed_url, k.page_no,
-  CASE WHEN broken AND s.c % 17 = 4 THEN CAST(NULL AS INT) WHEN broken THEN 404 ELSE 200 END AS http_status,
-  CASE WHEN broken THEN CAST(NULL AS STRING) ELSE
+SELECT /*+ MERGE(s, p) */ s.seed_url, k.page_no, 1 AS version,
+  CASE WHEN broken AND s.c % 17 = 4 THEN CAST(NULL AS INT) WHEN broken AND s.c % 17 = 6 THEN 500
+       WHEN broken THEN 404 ELSE 200 END AS http_status,
+  CASE WHEN broken AND s.c % 17 <> 6 THEN CAST(NULL AS STRING) ELSE
     '<!DOCTYPE html><html><head><title>x</title>'
     || CASE s.c % 3 WHEN 0 THEN '<link rel="canonical" href="/detail/' || s.c || '">'
                     WHEN 1 THEN '<link rel="alternate canonical" href="https://other.example/x">'
@@ -80,15 +81,17 @@ SELECT /*+ MERGE(s, p) */ s.seed_url, k.page_no,
     || CASE WHEN s.c % 5 = 0 THEN
          '<table><tr><td>01/01/1999</td><td>otra</td></tr></table>' ELSE '' END
     || '</body></html>' END AS html,
-  CASE WHEN broken AND s.c % 17 = 4 THEN 'timed out' WHEN broken THEN 'Not Found'
+  CASE WHEN broken AND s.c % 17 = 4 THEN 'timed out' WHEN broken AND s.c % 17 = 3 THEN 'Not Found'
        ELSE CAST(NULL AS STRING) END AS fetch_error
 FROM (
-  SELECT *, page_no = 1 AND c % 17 IN (3, 4) AS broken FROM (
-    SELECT c, page_no FROM {rows} UNION SELECT c, 1 FROM {seeds}
+  SELECT *, page_no = 1 AND c % 17 IN (3, 4, 6) AS broken FROM (
+    SELECT c, page_no FROM {rows} UNION SELECT c, 1 FROM {seeds} WHERE c % 17 <> 7
   ) AS wanted
 ) AS k
 JOIN {seeds} AS s ON s.c = k.c
 LEFT JOIN {rows} AS p ON p.c = k.c AND p.page_no = k.page_no
+UNION ALL
+SELECT seed_url, 1, 2, 503, '<p>busy</p>', CAST(NULL AS STRING) FROM {seeds} WHERE c % 17 = 9
 """
 
 _ROW_HTML = """
@@ -116,7 +119,11 @@ def page_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of all customers. A page's rows are at most KEYS_PER_PAGE, by construction."""
+    """Pages of all customers. A page's rows are at most KEYS_PER_PAGE, by construction.
+
+    Some seeds have a first page that was not fetched, with or without a body, some none at
+    all, and some a second version of it, which was not fetched.
+    """
     orders = page_orders(spark, sf_dir)
     rows = spark.sql(
         "SELECT c, page_no, string_agg(html, '') WITHIN GROUP (ORDER BY o) AS rows FROM "
@@ -133,13 +140,13 @@ ROWS = "page_orders AS (" + ROW_SQL.format(orders="orders", keys_per_page=KEYS_P
 EXPECTED = f"""
 {SEEDS},
 {ROWS},
-wanted AS (SELECT c, page_no FROM page_orders UNION SELECT c, 1 FROM seeds),
+wanted AS (SELECT c, page_no FROM page_orders UNION SELECT c, 1 FROM seeds WHERE c % 17 <> 7),
 first_dated AS (
   SELECT c, page_no, min(o) AS first_o, count(*) AS dated
   FROM page_orders WHERE kind <> 3 GROUP BY 1, 2),
 page_facts AS (
   SELECT s.*, w.page_no, coalesce(dated, 0) AS dated, first_o,
-    w.page_no = 1 AND s.c % 17 IN (3, 4) AS broken,
+    w.page_no = 1 AND s.c % 17 IN (3, 4, 6) AS broken,
     CAST((s.c % 4 = 3) AS INTEGER) + CAST((s.c % 3 = 0) AS INTEGER) AS tables_before
   FROM wanted w JOIN seeds s USING (c) LEFT JOIN first_dated f ON f.c = w.c AND f.page_no = w.page_no),
 event_rows AS (
@@ -161,7 +168,8 @@ all_events AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY c, page_no ORDER BY o) - 1 AS INTEGER) AS row_order
   FROM event_rows),
 bad_seeds AS (
-  SELECT c FROM event_rows WHERE bad_link UNION SELECT c FROM page_facts WHERE broken),
+  SELECT c FROM event_rows WHERE bad_link UNION SELECT c FROM page_facts WHERE broken
+  UNION SELECT c FROM seeds WHERE c % 17 = 7),
 facts AS (
   SELECT seed_url,
     CASE c % 3 WHEN 0 THEN 'https://h.example/detail/' || c

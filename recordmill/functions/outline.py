@@ -8,7 +8,9 @@ holds events and what a label's value is are decided by column expressions on th
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
+from itertools import accumulate
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
-from recordmill.functions.text import HIDDEN_ELEMENTS
+from recordmill.functions.text import HIDDEN_ELEMENTS, VOID_ELEMENTS
 from recordmill.functions.urls import url_origin
 
 # Elements and selectors the extraction rules name, in their order.
@@ -31,11 +33,8 @@ _SELECTORS = frozenset(TITLE_SELECTORS + AUTHOR_SELECTORS)
 LABEL_ELEMENTS = frozenset({"td", "th", "span", "label", "strong", "b", "dt"})
 VALUE_ELEMENTS = frozenset({"td", "dd", "span"})
 
-# HTML elements without content, and what an opening tag implicitly ends:
+# What an opening tag implicitly ends:
 # the elements it closes, and the containers past which it does not look.
-_VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
 _BLOCKS = frozenset(
     "address article aside blockquote center dir div dl fieldset footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split()
@@ -60,13 +59,11 @@ _RANK = {
 }
 _OTHER_RANK = 100
 
-# A comment, a declaration or stray end mark, or a tag; a tag with an unclosed quote ends at
-# its first ">".
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</[^a-zA-Z][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+# What a tag holds up to its ">" with all quotes closed.
+_REST = re.compile(r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+""")
+# Work on unclosed quotes, as a multiple of a page's length; beyond it a tag ends at its first ">".
+_PATIENCE = 8
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']*))"
 )
@@ -76,20 +73,35 @@ _RAW_TEXT = {
     for tag in ("script", "style", "title", "textarea")
 }
 
+# Date forms of an event row.
+_DATE = re.compile(
+    r"(?=([0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+    r"|[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"|[0-9]{1,2}\s+[A-Za-zÁÉÍÓÚáéíóú.]+\s+[0-9]{4}))"
+)
+#: Cells of a row that the rules can ask for, besides the first dated one.
+ROW_CELLS = 5
+
 _TEXTS = pa.list_(pa.string())
+# Words are kept once; cells are spans of them, and rows of a table are neighbours.
+_SPANS = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32())]))
 _ROW = pa.struct([
-    ("tables", pa.list_(pa.int32())),
-    ("text", pa.string()),
-    ("cells", _TEXTS),
+    ("n_cells", pa.int32()),
+    ("date_cell", pa.int32()),  # number of the first dated cell, from 1; 0 for none
+    ("cells", _SPANS),  # the first ``ROW_CELLS``
+    ("date", _SPANS),  # the first dated cell
     ("all_heads", pa.bool_()),
     ("link", pa.string()),
     ("link_error", pa.string()),
 ])
+_TABLE = pa.struct([("first", pa.int32()), ("rows", pa.int32()), ("dated", pa.int32())])
 _OUTLINE = pa.struct([
     ("headings", _TEXTS),
     ("authors", pa.string()),
     ("canonical_link", pa.string()),
     ("labels", pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))),
+    ("words", pa.string()),
+    ("tables", pa.list_(_TABLE)),
     ("rows", pa.list_(_ROW)),
     ("canonical_link_error", pa.string()),
     ("error", pa.string()),
@@ -144,25 +156,52 @@ class _Page:
         self._close_from(0)
 
     def _read(self, html: str) -> None:
-        at = 0
-        while (token := _TOKEN.search(html, at)) is not None:
-            self._text(html[at:token.start()])
-            at = token.end()
-            slash, name, attributes = token.group(1, 2, 3)
-            if name is None:  # a comment or declaration only ends the text before it
+        """One pass: no part of a page is looked at more than a fixed number of times."""
+        at, self._patience = 0, _PATIENCE * len(html)
+        last_end = html.rfind(">")
+        while (tag := html.find("<", at)) >= 0:
+            if html.startswith("<!--", tag):
+                self._text(html[at:tag])
+                end = html.find("-->", tag + 4)
+                at = len(html) if end < 0 else end + 3
                 continue
-            tag = name.lower()
+            if tag > last_end:  # no tag can end any more
+                break
+            slash = html.startswith("/", tag + 1)
+            name = _NAME.match(html, tag + 1 + slash)
+            if name is None:
+                if slash or html[tag + 1:tag + 2] in ("!", "?"):
+                    self._text(html[at:tag])
+                    at = html.find(">", tag) + 1
+                else:
+                    self._text(html[at:tag + 1])
+                    at = tag + 1
+                continue
+            self._text(html[at:tag])
+            end = self._tag_end(html, name.end())
+            attributes, at = html[name.end():end], end + 1
+            tag_name = name[0].lower()
             if slash:
-                self._end(tag)
+                self._end(tag_name)
                 continue
-            self._start(tag, attributes)
-            if tag in _RAW_TEXT:
-                end = _RAW_TEXT[tag].search(html, at)
-                stop = end.start() if end else len(html)
+            self._start(tag_name, attributes)
+            if tag_name in _RAW_TEXT:
+                raw_end = _RAW_TEXT[tag_name].search(html, at)
+                stop = raw_end.start() if raw_end else len(html)
                 self._text(html[at:stop])
                 at = stop
         self._text(html[at:])
 
+    def _tag_end(self, html: str, at: int) -> int:
+        """The first ``>`` outside quotes, or the first one if a quote is never closed."""
+        if self._patience > 0:
+            end = _REST.match(html, at).end()
+            if html.startswith(">", end):
+                return end
+            self._patience -= end - at
+        end = html.find(">", at)
+        return len(html) if end < 0 else end
+
     def _text(self, text: str) -> None:
         if text and not self._hidden:
             self.text_nodes.append(unescape(text) if "&" in text else text)
@@ -177,7 +216,7 @@ class _Page:
         self.elements.append(element)
         self._open.append(element)
         self._hidden += tag in HIDDEN_ELEMENTS
-        if tag in _VOID:
+        if tag in VOID_ELEMENTS:
             self._close_from(len(self._open) - 1)
 
     def _end_implied(self, closes, stops) -> None:
@@ -234,50 +273,147 @@ def _resolved(base: str, link: str | None) -> tuple[str | None, str | None]:
         return None, str(exc)
 
 
-def _row_facts(page: _Page, row: _Element, tables: list[int], base: str) -> dict:
-    inside = page.within(row)
-    cells = [e for e in inside if e.tag in _CELLS]
-    targets = (e.attrs.get("href", "").strip() for e in inside if e.tag == "a")
-    link, error = _resolved(base, next((t for t in targets if t and t != "#"), None))
-    return {
-        "tables": tables,
-        "text": "".join(page.texts(row)),
-        "cells": [page.words(c) for c in cells],
-        "all_heads": all(c.tag == "th" for c in cells),
-        "link": link or "",
-        "link_error": error,
-    }
+class _Words:
+    """All words of a page as one text, and where those of each text node begin."""
+
+    def __init__(self, page: _Page) -> None:
+        pieces, self.starts, at = [], [], 0
+        for node in page.text_nodes:
+            self.starts.append(at)
+            own = node.split()
+            if own:
+                pieces += own
+                at += sum(map(len, own)) + len(own)
+        self.starts.append(at)
+        self.text = " ".join(pieces)
+
+    def span(self, element: _Element) -> dict[str, int]:
+        """The element's words as a span of ``text``."""
+        a, b = self.starts[element.text_span.start], self.starts[element.text_span.stop]
+        return {"at": a, "size": max(b - a - 1, 0)}
+
+
+class _Found:
+    """Occurrences in the joined texts of a page, asked for by spans of text nodes."""
+
+    def __init__(self, texts: list[str], occurrences) -> None:
+        self._offsets = list(accumulate(map(len, texts), initial=0))
+        pairs = occurrences("".join(texts))
+        self._starts = [a for a, _ in pairs]
+        # The least end among an occurrence and all later ones.
+        self._ends = list(accumulate((b for _, b in reversed(pairs)), min))[::-1]
+
+    def within(self, span: slice) -> bool:
+        i = bisect_left(self._starts, self._offsets[span.start])
+        return i < len(self._ends) and self._ends[i] <= self._offsets[span.stop]
+
 
+def _dates(text: str) -> list[tuple[int, int]]:
+    return [m.span(1) for m in _DATE.finditer(text)]
 
-def _label_facts(page: _Page) -> list[dict]:
-    labels = []
+
+def _all_of(wanted: str):
+    def occurrences(text: str) -> list[tuple[int, int]]:
+        found, at = [], text.find(wanted)
+        while at >= 0:
+            found.append((at, at + len(wanted)))
+            at = text.find(wanted, at + 1)
+        return found
+
+    return occurrences
+
+
+def _label_facts(page: _Page, labels: list[str]) -> list[dict]:
+    """For each of ``labels`` the value beside the first element that contains it."""
+    names = [node.strip().lower() for node in page.text_nodes]
+    beside: list[tuple[_Element, _Element]] = []
     # Backwards, so that the nearest later sibling that may hold a value is at hand.
-    beside: dict[int, _Element] = {}
+    after: dict[int, _Element] = {}
     for e in reversed(page.elements):
         if e.tag in LABEL_ELEMENTS:
-            value = beside.get(id(e.parent)) or e.parent.next
+            value = after.get(id(e.parent)) or e.parent.next
             if value is not None:
-                name = "".join(t.strip() for t in page.texts(e))
-                labels.append({"label": name.lower(), "value": page.words(value)})
+                beside.append((e, value))
         if e.tag in VALUE_ELEMENTS:
-            beside[id(e.parent)] = e
-    return labels[::-1]
+            after[id(e.parent)] = e
+    beside.reverse()
+    facts = []
+    for label in labels:
+        found = _Found(names, _all_of(label))
+        value = next((v for e, v in beside if found.within(e.text_span)), None)
+        if value is not None:
+            facts.append({"label": label, "value": page.words(value)})
+    return facts
+
+
+def _table_facts(page: _Page, words: _Words, base: str) -> tuple[list[dict], list[dict]]:
+    """Tables with the rows and dated rows inside them, and the rows of the tables with most."""
+    numbers = [i for i, e in enumerate(page.elements) if e.tag == "tr"]
+    outer = [i for i, e in enumerate(page.elements) if e.tag == "table"]
+    date = _Found(page.text_nodes, _dates)
+    dated = [date.within(page.elements[i].text_span) for i in numbers]
+    before = list(accumulate(dated, initial=0))
+    tables = []
+    for i in outer:
+        span = page.elements[i].element_span
+        first, last = bisect_left(numbers, i), bisect_left(numbers, span.stop)
+        tables.append({"first": first, "rows": last - first, "dated": before[last] - before[first]})
+    most = max((t["dated"] for t in tables), default=0)
+    wanted = set()
+    if most:
+        for t in tables:
+            if t["dated"] == most:
+                wanted.update(range(t["first"], t["first"] + t["rows"]))
+    cells = [i for i, e in enumerate(page.elements) if e.tag in _CELLS]
+    cell_dated = [date.within(page.elements[i].text_span) for i in cells]
+    next_dated = _next(cell_dated)
+    heads = list(accumulate((page.elements[i].tag == "th" for i in cells), initial=0))
+    links = [i for i, e in enumerate(page.elements) if e.tag == "a" and e.attrs.get("href", "").strip() not in ("", "#")]
+    rows = []
+    for k, i in enumerate(numbers):
+        if k not in wanted:  # keeps its place only
+            rows.append({"n_cells": 0, "date_cell": 0, "cells": [], "date": [], "all_heads": False, "link": ""})
+            continue
+        span = page.elements[i].element_span
+        a, b = bisect_left(cells, i), bisect_left(cells, span.stop)
+        at = next_dated[a] if a < b and next_dated[a] < b else None
+        nearest = bisect_left(links, i)
+        link, error = "", None
+        if nearest < len(links) and links[nearest] < span.stop:
+            link, error = _resolved(base, page.elements[links[nearest]].attrs["href"].strip())
+        rows.append({
+            "n_cells": b - a,
+            "date_cell": 0 if at is None else at - a + 1,
+            "cells": [words.span(page.elements[c]) for c in cells[a:min(b, a + ROW_CELLS)]],
+            "date": [] if at is None else [words.span(page.elements[cells[at]])],
+            "all_heads": heads[b] - heads[a] == b - a,
+            "link": link or "",
+            "link_error": error,
+        })
+    return tables, rows
+
+
+def _next(flags: list[bool]) -> list[int]:
+    """For each place the next one, itself included, that is set; the list's length if none is."""
+    out, at = [0] * len(flags), len(flags)
+    for i in range(len(flags) - 1, -1, -1):
+        at = i if flags[i] else at
+        out[i] = at
+    return out
+
+
+def _resolved(base: str, link: str | None) -> tuple[str | None, str | None]:
+    try:
+        return (urljoin(base, link) if link else None), None
+    except ValueError as exc:
+        return None, str(exc)
 
 
-def _facts(html: str, base: str) -> dict:
+def _facts(html: str, base: str, labels: list[str]) -> dict:
     page = _Page(html)
+    words = _Words(page)
     texts = page.first_texts()
-    numbers = {id(e): n for n, e in enumerate(e for e in page.elements if e.tag == "table")}
-    rows = []
-    for e in page.elements:
-        if e.tag == "tr":
-            around, up = [], e.parent
-            while up is not None:
-                if id(up) in numbers:
-                    around.append(numbers[id(up)])
-                up = up.parent
-            if around:
-                rows.append(_row_facts(page, e, around, base))
+    tables, rows = _table_facts(page, words, base)
     links = (e for e in page.elements if e.tag == "link")
     canonical = next((e for e in links if "canonical" in e.attrs.get("rel", "").split()), None)
     link, link_error = _resolved(base, canonical.attrs.get("href") if canonical else None)
@@ -286,41 +422,51 @@ def _facts(html: str, base: str) -> dict:
         "authors": next((texts[s] for s in AUTHOR_SELECTORS if s in texts), None),
         "canonical_link": link,
         "canonical_link_error": link_error,
-        "labels": _label_facts(page),
+        "labels": _label_facts(page, labels),
+        "words": words.text if rows else "",
+        "tables": tables,
         "rows": rows,
     }
 
 
-def _outline(html: str | None, base: str | None) -> dict | None:
+def _outline(html: str | None, base: str | None, labels: list[str]) -> dict | None:
     if html is None:
         return None
     try:
-        return _facts(html, base or "")
+        return _facts(html, base or "", labels)
     except Exception as exc:  # the page is reported, the task goes on
         return {"error": str(exc) or type(exc).__name__}
 
 
 @F.arrow_udf(from_arrow_type(_OUTLINE))
-def _outlines(html: pa.Array, base: pa.Array) -> pa.Array:
+def _outlines(html: pa.Array, base: pa.Array, labels: pa.Array) -> pa.Array:
+    wanted = labels[0].as_py() if len(labels) else []  # one list for all rows
     return pa.array(
-        [_outline(h.as_py(), b.as_py()) for h, b in zip(html, base)], type=_OUTLINE
+        [_outline(h.as_py(), b.as_py(), wanted) for h, b in zip(html, base)], type=_OUTLINE
     )
 
 
-def page_outline(html: Column, base_url: Column) -> Column:
-    """Outline of a page; links are resolved against the site of ``base_url``."""
-    return _outlines(html, url_origin(base_url))
+def page_outline(html: Column, base_url: Column, labels: list[str]) -> Column:
+    """Outline of a page; links are resolved against the site of ``base_url``.
+
+    Of the page's label elements only the values beside ``labels`` are kept.
+    """
+    wanted = F.array(*[F.lit(label.lower()) for label in labels])
+    return _outlines(html, url_origin(base_url), wanted)
 
 
 def clean_node_text(html: Column) -> Column:
-    """All visible text of a fragment, its words joined by one space."""
+    """All visible text of a fragment, its words joined by one space; blank if it cannot be read."""
     return F.coalesce(_words(html), F.lit(""))
 
 
 @F.arrow_udf(T.StringType())
 def _words(html: pa.Array) -> pa.Array:
-    def words(markup: str) -> str:
-        page = _Page(markup)
-        return page.words(page.root)
+    def words(markup: str) -> str | None:
+        try:
+            page = _Page(markup)
+            return page.words(page.root)
+        except Exception:  # the value is blank, the task goes on
+            return None
 
     return pa.array([None if h is None else words(h) for h in html.to_pylist()], pa.string())

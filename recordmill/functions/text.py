@@ -20,6 +20,10 @@ from recordmill.functions.strings import or_blank, strip
 
 # Elements whose text is not part of the visible text.
 HIDDEN_ELEMENTS = frozenset({"script", "style", "template", "rt", "rp"})
+# HTML elements without content.
+VOID_ELEMENTS = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split()
+)
 
 _MARKUP_TYPE = pa.struct([("value", pa.string()), ("error", pa.string())])
 
@@ -31,6 +35,8 @@ class _VisibleText(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.nodes: list[str] = []
         self._run: list[str] = []
+        self._open: list[str] = []
+        self._count: dict[str, int] = {}
         self._hidden = 0
 
     def _break(self) -> None:
@@ -40,16 +46,23 @@ class _VisibleText(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._break()
-        if tag in HIDDEN_ELEMENTS:
-            self._hidden += 1
+        if tag not in VOID_ELEMENTS:
+            self._open.append(tag)
+            self._count[tag] = self._count.get(tag, 0) + 1
+            self._hidden += tag in HIDDEN_ELEMENTS
 
     def handle_startendtag(self, tag, attrs):
         self._break()
 
     def handle_endtag(self, tag):
+        """Ends the last open element of that name, and those inside it that are still open."""
         self._break()
-        if tag in HIDDEN_ELEMENTS and self._hidden:
-            self._hidden -= 1
+        if self._count.get(tag):
+            ended = None
+            while ended != tag:
+                ended = self._open.pop()
+                self._count[ended] -= 1
+                self._hidden -= ended in HIDDEN_ELEMENTS
 
     def handle_comment(self, data):
         self._break()

@@ -2,10 +2,9 @@
 
 A record's key is the first that applies of URL, bulletin with title, and hash with
 title. Statistics of a key are aggregated before any row moves, so a key that holds a
-large share of all rows costs each task one partial row. The result then returns to the
-rows along two ways: keys above a fixed share of all rows, whose number that share
-bounds, are broadcast and their rows stay where they are; all other rows meet their
-statistics in a shuffled join.
+large share of all rows costs each task one partial row. They are written once, and all
+rows meet them in one plain join of two tables, whose large partitions AQE splits: a key's
+rows need not lie together, because each asks its statistics for itself alone.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from recordmill.functions.scoring import (
 )
 from recordmill.functions.strings import or_blank, stripped
 from recordmill.schema import CLUSTER_COLUMNS
+from recordmill.staging import stage
 
 # Key prefixes and the reasons that go with them.
 URL_KEY, BULLETIN_KEY, HASH_KEY, SINGLETON_KEY = "url:", "bt:", "ht:", "singleton:"
@@ -30,11 +30,6 @@ SAME_BULLETIN = "same_bulletin_and_title"
 SAME_HASH = "same_hash_and_title"
 UNIQUE = "unique"
 
-# A key with more than this share of all rows is hot; fewer than 1/share keys can be.
-HOT_SHARE = 0.001
-# Below this many rows a key is cheap to shuffle, whatever its share.
-HOT_ROWS = 100_000
-
 _DEDUP_FIELDS = [
     "record_id", "source_type", "content_hash_hint", *RELEVANT_FIELDS,
 ]
@@ -115,11 +110,9 @@ def with_group_columns(df: DataFrame) -> DataFrame:
 
 def _key_statistics(keyed: DataFrame) -> DataFrame:
     """``_key, _size, _kept_id`` of each key."""
-    statistics = keyed.groupBy("_key").agg(
+    return keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_prefer").alias("_best")
     ).select("_key", "_size", F.col("_best.record_id").alias("_kept_id"))
-    # Never null; asking for it keeps all readers on one aggregate, whose shuffle is reused.
-    return statistics.where(F.col("_kept_id").isNotNull())
 
 
 def select_canonical(df: DataFrame) -> DataFrame:
@@ -141,35 +134,28 @@ def select_canonical(df: DataFrame) -> DataFrame:
     )
 
 
-def assign_duplicate_groups(
-    df: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Adds ``duplicate_group_id`` and ``is_canonical``; lazy, other columns unchanged.
+def assign_duplicate_groups(df: DataFrame) -> DataFrame:
+    """Adds ``duplicate_group_id``, ``is_canonical`` and ``group_digest``; other columns unchanged.
+
+    The published id is a short prefix of a digest, so different groups may share one. The full
+    ``group_digest`` tells them apart and is for counting; published tables leave it out.
 
-    The input is read once for the statistics and once or twice for the rows, so a costly
-    input should be staged before.
+    Runs one job, which writes the statistics of the keys of two rows or more. The input is read
+    for that and again for the rows, so a costly input should be staged before. Without adaptive
+    execution a session does not split large keys; set ``spark.sql.adaptive.enabled``.
     """
-    if not 0.0001 <= hot_share <= 1:
-        raise ValueError("hot_share must lie in [0.0001, 1]: it bounds what is broadcast")
     keyed = with_group_columns(df)
-    statistics = _key_statistics(keyed)
-    total = statistics.agg(F.sum("_size").alias("total")).scalar()
-    groups = statistics.where(F.col("_size") > 1)
-    is_hot = F.col("_size") > F.greatest(total * F.lit(hot_share), F.lit(float(hot_rows)))
-    hot, other = F.broadcast(groups.where(is_hot)), groups.where(~is_hot)
-
-    hot_part = keyed.join(hot, "_key")
-    other_part = keyed.join(hot.select("_key"), "_key", "left_anti").join(other, "_key", "left")
-
+    groups = stage(_key_statistics(keyed).where(F.col("_size") > 1), "groups")
     grouped = F.col("_size").isNotNull() & F.col("_dup_key").isNotNull()
     record_id = or_blank(F.col("record_id"))
     key = F.when(grouped, F.col("_dup_key")).otherwise(
         F.concat(F.lit(SINGLETON_KEY), record_id)
     )
-    return hot_part.unionByName(other_part).select(
+    return keyed.join(groups, "_key", "left").select(
         *[c for c in df.columns if c not in _HELPERS],
         stable_group_id(key).alias("duplicate_group_id"),
         F.when(grouped, record_id == F.col("_kept_id")).otherwise(F.lit(True)).alias("is_canonical"),
+        F.unhex(F.sha2(key, 256)).alias("group_digest"),
     )
 
 

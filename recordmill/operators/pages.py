@@ -25,13 +25,8 @@ FIELD_LABELS = {
     "origin_chamber": ["Origen", "Cámara de Origen", "Cámara origen"],
 }
 AUTHOR_LABELS = ["Autor", "Autores"]
-# Date forms of an event row.
-EVENT_DATE_PATTERN = (
-    r"(?U)[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
-    r"|[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"|[0-9]{1,2}\s+[A-Za-zÁÉÍÓÚáéíóú.]+\s+[0-9]{4}"
-)
 EVENT_FIELDS = ["session", "stage", "substage", "description"]
+NO_FIRST_PAGE = "no first page"
 PARSE_ERROR = "Parse error: "
 HTTP_ERROR = "HTTPError "
 
@@ -39,13 +34,12 @@ HTTP_ERROR = "HTTPError "
 def label_value(outline: Column, *labels: str) -> Column:
     """Value beside the first label that contains the text, in any letter case.
 
-    With several texts the first that yields a value wins; blank when none does.
+    With several texts the first that yields a value wins; blank when none does. The outline
+    must have been asked for these labels.
     """
 
     def value_of(text: str) -> Column:
-        hits = F.filter(
-            outline["labels"], lambda l: F.contains(l["label"], F.lit(text.lower()))
-        )
+        hits = F.filter(outline["labels"], lambda l: l["label"] == text.lower())
         return F.try_element_at(hits, F.lit(1))["value"]
 
     return first_non_empty(*[value_of(t) for t in labels])
@@ -75,47 +69,43 @@ def project_authors(outline: Column) -> Column:
     )
 
 
-def _has_date(text: Column) -> Column:
-    return text.rlike(EVENT_DATE_PATTERN)
-
-
 def pick_event_table(outline: Column) -> Column:
     """Number of the table with most dated rows, the first of equals; null without one."""
-    dated = F.flatten(
-        F.transform(F.filter(outline["rows"], lambda r: _has_date(r["text"])), lambda r: r["tables"])
-    )
     scored = F.transform(
-        F.array_distinct(dated),
-        lambda t: F.struct(
-            F.size(F.filter(dated, lambda d: d == t)).alias("rows"), (-t).alias("earlier")
-        ),
+        outline["tables"], lambda t, i: F.struct(t["dated"].alias("rows"), (-i).alias("earlier"))
     )
-    return -F.array_max(scored)["earlier"]
+    best = F.array_max(scored)
+    return F.when(best["rows"] > 0, -best["earlier"])
+
+
+def table_rows(outline: Column, table: Column) -> Column:
+    """The rows inside a table, nested ones included."""
+    t = outline["tables"][table]
+    return F.slice(outline["rows"], t["first"] + 1, t["rows"])
 
 
 def event_row_filter(rows: Column) -> Column:
     """Data rows: two cells or more, not all headers, from the first dated row on."""
-    data = F.filter(rows, lambda r: (F.size(r["cells"]) >= 2) & ~r["all_heads"])
+    data = F.filter(rows, lambda r: (r["n_cells"] >= 2) & ~r["all_heads"])
     # A position of 0 (no dated row) leaves nothing; slice counts from 1.
-    first = F.array_position(
-        F.transform(data, lambda r: F.exists(r["cells"], _has_date)), True
-    ).cast("int")
+    first = F.array_position(F.transform(data, lambda r: r["date_cell"] > 0), True).cast("int")
     return F.when(
         first > 0, F.slice(data, first, F.size(data))
     ).otherwise(F.slice(data, 1, 0))
 
 
-def event_columns(row: Column) -> Column:
+def event_columns(row: Column, words: Column) -> Column:
     """Date cell, the other cells by position, and the document link of a data row."""
-    cells = row["cells"]
-    at = F.greatest(
-        F.array_position(F.transform(cells, _has_date), True).cast("int"), F.lit(1)
-    )
-    others = F.filter(cells, lambda c, i: i != at - 1)
+
+    def text(span: Column) -> Column:
+        return F.substr(words, span["at"] + 1, span["size"])
+
+    at = F.greatest(row["date_cell"], F.lit(1))
+    others = F.filter(row["cells"], lambda c, i: i != at - 1)
     return F.struct(
-        F.element_at(cells, at).alias("event_date"),
+        text(F.coalesce(F.try_element_at(row["date"], F.lit(1)), row["cells"][0])).alias("event_date"),
         *[
-            or_blank(F.try_element_at(others, F.lit(i + 1))).alias(name)
+            or_blank(text(F.try_element_at(others, F.lit(i + 1)))).alias(name)
             for i, name in enumerate(EVENT_FIELDS)
         ],
         row["link"].alias("document_url"),
@@ -125,8 +115,9 @@ def event_columns(row: Column) -> Column:
 
 def event_candidates(outline: Column, table: Column) -> Column:
     """Data rows of the chosen table as event columns, in row order."""
-    rows = F.filter(outline["rows"], lambda r: F.array_contains(r["tables"], table))
-    return F.transform(event_row_filter(rows), event_columns)
+    return F.transform(
+        event_row_filter(table_rows(outline, table)), lambda r: event_columns(r, outline["words"])
+    )
 
 
 def with_date(candidates: Column) -> Column:
@@ -134,16 +125,27 @@ def with_date(candidates: Column) -> Column:
     return F.filter(candidates, lambda e: e["event_date"] != "")
 
 
-def outline_pages(pages: DataFrame, base_url: str | None = None) -> DataFrame:
-    """Adds ``outline``, ``fetched`` and ``event_table``; pages without HTML get no outline.
+LABELS = [TITLE_LABEL, *(x for names in FIELD_LABELS.values() for x in names), *AUTHOR_LABELS]
+
 
-    Links are resolved against ``base_url``, by default the seed's own site.
+def outline_pages(
+    pages: DataFrame, base_url: str | None = None, labels: list[str] | None = None
+) -> DataFrame:
+    """Adds ``outline``, ``fetched`` and ``event_table``; pages that were not fetched get no outline.
+
+    A page is fetched if it has HTML, no error, and no status of 400 or more. A null page number
+    counts as 1. Links are resolved against ``base_url``, by default the seed's own site.
+    ``labels`` are those that ``label_value`` will be asked for, by default the project's.
     """
-    fetched = F.col("html").isNotNull() & F.col("fetch_error").isNull()
+    fetched = (
+        F.col("html").isNotNull() & F.col("fetch_error").isNull()
+        & (F.coalesce("http_status", F.lit(0)) < 400)
+    )
     base = F.col("seed_url") if base_url is None else F.lit(base_url)
+    outline = page_outline(F.when(F.col("fetched"), F.col("html")), base, LABELS if labels is None else labels)
     return (
-        pages.withColumn("fetched", fetched)
-        .withColumn("outline", page_outline(F.when(fetched, F.col("html")), base))
+        pages.withColumn("page_no", F.coalesce("page_no", F.lit(1))).withColumn("fetched", fetched)
+        .withColumn("outline", outline)
         .drop("html")
         .withColumn("event_table", pick_event_table(F.col("outline")))
     )
@@ -204,15 +206,46 @@ _EVENTS_DDL = (
 )
 
 
-def failed_seeds(extracted: DataFrame) -> DataFrame:
-    """Seeds with a page that could not be parsed, or whose first page was not fetched."""
-    bad = F.col("error").isNotNull() | ((F.col("page_no") == 1) & ~F.col("fetched"))
-    return extracted.where(bad).select("seed_url").distinct()
+_OUTCOME_FIELDS = ["http_status", "fetched", "fetch_error", "project", "events", "error"]
+
+
+def latest_versions(extracted: DataFrame) -> DataFrame:
+    """One row for each seed and page number; what the operators below expect.
+
+    Of a page stored more than once, a fetched version is taken before others, then the one
+    with more events, then the greatest by error, status and content.
+    """
+    version = F.struct(
+        F.col("fetched"), F.size("events").alias("n"), F.col("error"), F.col("http_status"),
+        F.xxhash64("events", "project.detail_url", "project.title").alias("digest"),
+        F.struct(*_OUTCOME_FIELDS).alias("row"),
+    )
+    best = extracted.groupBy("seed_url", "page_no").agg(F.max(version).alias("_best"))
+    return best.select("seed_url", "page_no", "_best.row.*")
+
+
+def seed_outcomes(extracted: DataFrame) -> DataFrame:
+    """``seed_url`` with ``fetch_ok``, ``parse_ok``, ``http_status``, ``events`` and its messages.
+
+    What all outputs go by: a seed is fetched if its first page is, and parsed if it is fetched
+    and no page of it has an error. Pages are combined by partial aggregation.
+    """
+    first = F.col("page_no") == 1
+    per_seed = extracted.groupBy("seed_url").agg(
+        F.coalesce(F.bool_or(first & F.col("fetched")), F.lit(False)).alias("fetch_ok"),
+        F.bool_or(first).alias("has_first"),
+        F.max(F.when(first, F.col("http_status"))).alias("http_status"),
+        F.max(F.when(first, F.col("fetch_error"))).alias("fetch_error"),
+        F.min(F.when(F.col("error").isNotNull(), F.struct("page_no", "error")))["error"].alias("error"),
+        F.sum(F.size("events")).alias("events"),
+    )
+    return per_seed.withColumn("parse_ok", F.col("fetch_ok") & F.col("error").isNull())
 
 
 def _of_good_seeds(extracted: DataFrame) -> DataFrame:
     """A seed with a failed page yields no output rows at all."""
-    return extracted.join(failed_seeds(extracted), "seed_url", "left_anti")
+    good = seed_outcomes(extracted).where(F.col("parse_ok")).select("seed_url")
+    return extracted.join(good, "seed_url", "left_semi")
 
 
 def extract_projects(extracted: DataFrame) -> DataFrame:
@@ -243,29 +276,20 @@ def extract_events(extracted: DataFrame) -> DataFrame:
 
 
 def extract_report(extracted: DataFrame) -> DataFrame:
-    """Fetch and parse outcome of each seed. Pages are combined by partial aggregation."""
-    first = F.col("page_no") == 1
-    per_seed = extracted.groupBy("seed_url").agg(
-        F.coalesce(F.bool_or(first & F.col("fetched")), F.lit(False)).alias("fetch_ok"),
-        F.max(F.when(first, F.col("http_status"))).alias("http_status"),
-        F.max(F.when(first, F.col("fetch_error"))).alias("fetch_error"),
-        F.min(F.when(F.col("error").isNotNull(), F.struct("page_no", "error")))["error"].alias("error"),
-        F.sum(F.size("events")).alias("events"),
-    )
-    parse_ok = F.col("fetch_ok") & F.col("error").isNull()
-    fetch_message = F.when(
+    """Fetch and parse outcome of each seed."""
+    fetch_message = F.when(~F.col("has_first"), F.lit(NO_FIRST_PAGE)).when(
         F.col("http_status").isNotNull(),
         F.concat(
             F.lit(HTTP_ERROR), F.col("http_status").cast("string"), F.lit(": "),
             or_blank(F.col("fetch_error")),
         ),
     ).otherwise(or_blank(F.col("fetch_error")))
-    return per_seed.select(
+    return seed_outcomes(extracted).select(
         "seed_url",
         "fetch_ok",
-        parse_ok.alias("parse_ok"),
+        "parse_ok",
         "http_status",
-        F.when(parse_ok, F.col("events")).otherwise(0).cast("int").alias("row_count"),
+        F.when(F.col("parse_ok"), F.col("events")).otherwise(0).cast("int").alias("row_count"),
         F.when(~F.col("fetch_ok"), fetch_message)
         .when(F.col("error").isNotNull(), F.concat(F.lit(PARSE_ERROR), F.col("error")))
         .alias("error_message"),

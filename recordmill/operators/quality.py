@@ -16,7 +16,10 @@ def parse_errors_by_field(evaluated: DataFrame) -> DataFrame:
 
 
 def duplicate_group_sizes(grouped: DataFrame) -> DataFrame:
-    return grouped.groupBy("duplicate_group_id").agg(F.count(F.lit(1)).alias("group_size"))
+    """The size of each group. Two groups that share a published id give two rows."""
+    return grouped.groupBy("group_digest").agg(
+        F.first("duplicate_group_id").alias("duplicate_group_id"), F.count(F.lit(1)).alias("group_size")
+    ).drop("group_digest")
 
 
 def duplicates_removed(grouped: DataFrame) -> DataFrame:
@@ -26,7 +29,7 @@ def duplicates_removed(grouped: DataFrame) -> DataFrame:
 def quality_report(evaluated: DataFrame, grouped: DataFrame) -> DataFrame:
     """The one-row run report."""
     groups = (
-        grouped.groupBy("duplicate_group_id")
+        grouped.groupBy("group_digest")
         .agg(
             F.count(F.lit(1)).alias("size"),
             F.count_if(F.col("is_canonical")).alias("kept"),

@@ -12,6 +12,7 @@ from recordmill.operators.pages import (
     extract_pages,
     extract_projects,
     extract_report,
+    latest_versions,
 )
 from recordmill.sources import sinks
 from recordmill.staging import stage
@@ -27,22 +28,34 @@ class PageResult:
 def seed_pages(seeds: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of the listed seeds; a seed without a stored page gets an unfetched first page."""
     joined = seeds.select("seed_url").distinct().join(pages, "seed_url", "left")
-    missing = F.col("page_no").isNull()
+    missing = F.col("page_no").isNull() & F.col("html").isNull() & F.col("http_status").isNull() & F.col("fetch_error").isNull()
     return joined.withColumns({
         "fetch_error": F.when(missing, F.lit("no stored page")).otherwise(F.col("fetch_error")),
         "page_no": F.coalesce("page_no", F.lit(1)),
     })
 
 
+def in_seed_order(report: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The report with one row for each listed seed, repeats included, and its ``seed_no``."""
+    return seeds.select("seed_no", "seed_url").join(report, "seed_url").select("seed_no", *report.columns)
+
+
 def run_pages(
-    pages: DataFrame, base_url: str | None = None, scraped_at: Column | None = None
+    pages: DataFrame, base_url: str | None = None, scraped_at: Column | None = None,
+    seeds: DataFrame | None = None,
 ) -> PageResult:
-    """Parse every page once, stage the result, and derive the three outputs from it."""
-    extracted = stage(extract_pages(pages, base_url, scraped_at), "extracted")
+    """Parse every page once, stage the result, and derive the three outputs from it.
+
+    ``seeds(seed_no, seed_url)``, as ``read_seeds`` gives them, puts the report in their order.
+    """
+    if seeds is not None:
+        pages = seed_pages(seeds, pages)
+    extracted = stage(latest_versions(extract_pages(pages, base_url, scraped_at)), "extracted")
+    report = extract_report(extracted)
     return PageResult(
         projects=extract_projects(extracted),
         events=extract_events(extracted),
-        report=extract_report(extracted),
+        report=report if seeds is None else in_seed_order(report, seeds),
     )
 
 
@@ -53,8 +66,10 @@ def write_pages(result: PageResult, folder: str) -> None:
     sinks.write_extract_report(result.report, f"{folder}/scrape_report.json")
 
 
-def page_job(pages: DataFrame, folder: str, base_url: str | None = None) -> PageResult:
-    """From a pages table to the three written outputs."""
-    result = run_pages(pages, base_url)
+def page_job(
+    pages: DataFrame, folder: str, base_url: str | None = None, seeds: DataFrame | None = None
+) -> PageResult:
+    """From a pages table, and a list of seeds if there is one, to the three written outputs."""
+    result = run_pages(pages, base_url, seeds=seeds)
     write_pages(result, folder)
     return result

@@ -50,8 +50,9 @@ def write_events(df: DataFrame, path: str) -> None:
 
 
 def write_extract_report(df: DataFrame, path: str) -> None:
-    """JSON lines, one for each seed, sorted by seed."""
-    _write_json(df.orderBy("seed_url"), path)
+    """JSON lines, one for each seed, in the order of the seed list (of the seeds without one)."""
+    order = "seed_no" if "seed_no" in df.columns else "seed_url"
+    _write_json(df.orderBy(order).drop("seed_no"), path)
 
 
 def archive_pages(pages: DataFrame, path: str) -> None:

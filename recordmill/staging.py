@@ -2,12 +2,11 @@
 
 A staged result is a Parquet table in the shared folder the cluster names in
 ``spark.checkpoint.dir``: it cuts lineage, survives lost executors, and later readers
-prune its columns. Only a local session without that setting gets a temporary folder.
+prune its columns. A local session without that setting uses its warehouse folder.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +20,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{SETTING} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="recordmill-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    folder = checkpoint_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from recordmill.operators import dedup
+from recordmill.operators import dedup, quality
 from recordmill.operators.dedup import assign_duplicate_groups, duplicate_clusters, select_canonical
-from recordmill.schema import NORMALIZED_COLUMNS, NORMALIZED_SCHEMA
+from recordmill.schema import NORMALIZED_COLUMNS, NORMALIZED_SCHEMA, PARSE_ERROR_FIELDS
 
 RANK = {"detail": 0, "table": 1, "api": 2, "news": 3, "misc": 4}
 
@@ -122,12 +122,34 @@ def test_least_id_settles_ties_and_repeated_ids_are_all_kept(spark):
         ("R1", True), ("R1", True), ("R2", False), ("R3", False)]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10, 10**9])
-def test_random_rows_with_a_hot_key(spark, hot_rows):
-    """All rows shuffled, the hot key alone broadcast, or every large key broadcast: one result."""
+def test_random_rows_with_a_hot_key(spark):
     rows = random_rows(900, seed=3)
-    result = assign_duplicate_groups(frame(spark, rows), hot_share=0.01, hot_rows=hot_rows)
-    assert got(result) == brute_force(rows)
+    assert got(assign_duplicate_groups(frame(spark, rows))) == brute_force(rows)
+
+
+def test_a_key_on_a_third_of_all_rows_is_split(spark):
+    """Default arguments; only the thresholds of the session are small, as the rows are few."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    ids = spark.range(60_000).select(
+        F.format_string("R%06d", "id").alias("record_id"), F.lit("T").alias("title"), F.md5(F.col("id").cast("string")).alias("summary"),
+        F.when(F.col("id") % 3 == 0, F.lit("https://e.com/hot")).otherwise(F.concat(F.lit("https://e.com/"), F.col("id"))).alias("canonical_url"))
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        whole = assign_duplicate_groups(ids.repartition(8))
+        parts = whole.groupBy(F.spark_partition_id()).agg(
+            F.count_if(F.col("canonical_url") == "https://e.com/hot").alias("n"), *[F.max(c) for c in whole.columns])
+        sizes = [r.n for r in parts.collect()]
+        whole.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in whole._jdf.queryExecution().executedPlan().toString()
+    assert sum(sizes) == 20_000 and max(sizes) < 15_000
 
 
 def test_partitions_and_row_order_do_not_matter(spark):
@@ -138,7 +160,7 @@ def test_partitions_and_row_order_do_not_matter(spark):
         for partitions in ("1", "200"):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
             random.Random(partitions).shuffle(rows)
-            assert got(assign_duplicate_groups(frame(spark, rows).repartition(7), hot_rows=50)) == want
+            assert got(assign_duplicate_groups(frame(spark, rows).repartition(7))) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -147,14 +169,20 @@ def test_absent_columns_and_nulls_count_as_blank(spark):
     df = spark.createDataFrame([("R1", "https://e.com"), ("R2", "https://e.com"), ("R3", None)],
                                "record_id string, canonical_url string")
     result = assign_duplicate_groups(df)
-    assert result.columns == ["record_id", "canonical_url", "duplicate_group_id", "is_canonical"]
+    assert result.columns == ["record_id", "canonical_url", "duplicate_group_id", "is_canonical", "group_digest"]
     assert [r[1:] for r in got(result) if r[0] == gid("url:https://e.com")] == [("R1", True), ("R2", False)]
     assert (gid("singleton:R3"), "R3", True) in got(result)
 
 
-def test_what_is_broadcast_has_a_bound():
-    with pytest.raises(ValueError):
-        assign_duplicate_groups(None, hot_share=0.0)
+def test_groups_that_share_a_published_id_are_counted_apart(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "stable_group_id", lambda key: F.lit("GRP-SAME"))
+    rows = [record(f"{k}{i}", canonical_url=f"https://e.com/{k}") for k in "ab" for i in range(2)] + [record("X"), record("Y")]
+    grouped = assign_duplicate_groups(frame(spark, rows))
+    assert sorted(r.group_size for r in quality.duplicate_group_sizes(grouped).collect()) == [1, 1, 2, 2]
+    evaluated = frame(spark, rows).withColumns({
+        "rejection_reason": F.lit(""), "parse_failed": F.struct(*[F.lit(False).alias(c) for c in PARSE_ERROR_FIELDS])})
+    report = quality.quality_report(evaluated, grouped).first()
+    assert (report.duplicate_groups, report.duplicates_removed, report.normalized_rows) == (2, 2, 4)
 
 
 def test_descending_text_reverses_byte_order(spark):

@@ -1,11 +1,15 @@
 """Extraction rules on small pages."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from recordmill.functions.outline import _outline
 from recordmill.operators import pages
 from recordmill.plans.pages import page_job, run_pages, seed_pages
 from recordmill.schema import EVENT_COLUMNS, EXTRACT_REPORT_COLUMNS, PAGES_SCHEMA, PROJECT_COLUMNS
+from recordmill.sources.records import read_seeds
 from recordmill.sources.sinks import archive_pages
 
 SEED = "https://h.example/t?prmBoletin=11422-07"
@@ -130,6 +134,62 @@ def test_broken_markup_is_read(events_of):
     assert [e["session"] for e in events_of(deep)] == ["deep"]
 
 
+@pytest.mark.parametrize("unit", ["<a", "<a ", '<a "', "<!--", "<table>", "<tr><td>", "<table><tr><td>1/1/2020", "<b>Estado", '<a b="x>', "<a '>", "&lt"])
+def test_hostile_pages_take_linear_time(unit):
+    page = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    facts = _outline(page, "https://h.example", [x.lower() for x in pages.LABELS])
+    assert time.process_time() - start < 15
+    assert len(str(facts)) < 60 * len(page)
+
+
+def test_nested_tables_stay_small():
+    page = "<table><tr><td>01/01/2020</td><td>" * 400 + "x" + "</td></tr></table>" * 400
+    facts = _outline(page, "https://h.example", [])
+    assert facts["tables"][0] == {"first": 0, "rows": 400, "dated": 400}
+    assert len(str(facts)) < 40 * len(page)
+
+
+def test_many_tables_cost_as_many_times_more(spark):
+    def seconds(n):
+        df = frame(spark, "".join(table((f"01/01/{2000 + i % 20}", str(i))) for i in range(n)))
+        pages.extract_pages(df).collect()
+        start = time.perf_counter()
+        assert pages.extract_pages(df).first().events[0].session == "0"
+        return time.perf_counter() - start
+
+    assert seconds(4000) < 3 * seconds(2000) + 1
+
+
+def test_stored_pages_of_every_state(spark):
+    good = table(("01/01/2020", "a"))
+    df = spark.createDataFrame([
+        ("https://h/error-body", 1, 404, "<h1>Not found</h1>" + good, None),
+        ("https://h/no-first", 2, 200, good, None),
+        ("https://h/null-number", None, 200, good, None),
+        ("https://h/twice", 1, 200, "<p>", None), ("https://h/twice", 1, 200, good, None), ("https://h/twice", 1, None, None, "gone"),
+    ], PAGES_SCHEMA)
+    result = run_pages(df)
+    report = {r.seed_url: tuple(r)[1:] for r in result.report.collect()}
+    assert report == {
+        "https://h/error-body": (False, False, 404, 0, "HTTPError 404: "),
+        "https://h/no-first": (False, False, None, 0, "no first page"),
+        "https://h/null-number": (True, True, 200, 1, None),
+        "https://h/twice": (True, True, 200, 1, None),
+    }
+    assert sorted(r.seed_url for r in result.projects.collect()) == ["https://h/null-number", "https://h/twice"]
+    assert result.events.count() == sum(r[3] for r in report.values())
+
+
+def test_report_follows_the_seed_list(spark, tmp_path):
+    (tmp_path / "seeds.txt").write_text("# list\nhttps://h/b\nhttps://h/a\n\nhttps://h/b\nhttps://h/c\n")
+    df = spark.createDataFrame([(f"https://h/{x}", 1, 200, "<p>", None) for x in "abd"], PAGES_SCHEMA)
+    page_job(df, str(tmp_path / "out"), seeds=read_seeds(spark, str(tmp_path / "seeds.txt")))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out" / "scrape_report.json")).collect()]
+    assert [x.split('"')[3] for x in lines] == ["https://h/b", "https://h/a", "https://h/b", "https://h/c"]
+    assert "seed_no" not in lines[0] and "no stored page" in lines[3]
+
+
 def test_report_and_failed_seeds(spark):
     good, bad_link = table(("01/01/2020", "a")), table(("01/01/2020", '<a href="http://[x">b</a>'))
     df = spark.createDataFrame([

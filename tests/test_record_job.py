@@ -178,3 +178,18 @@ def test_seeds(spark, tmp_path):
 
 def test_normalized_columns(spark, sf_dir):
     assert normalize_records(raw_records(spark, sf_dir)).columns == NORMALIZED_COLUMNS
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_are_read_by_their_own_headers(spark, tmp_path, multi_line):
+    # Spark takes a name in brackets for a pattern when it looks at headers of multi-line files.
+    (tmp_path / ("a b.csv" if multi_line else "a b[1].csv")).write_text("record_id,title_raw,url_raw\nA1,T1,u1\n")
+    (tmp_path / "b%20.csv").write_text("title_raw,record_id,url_raw\nT2,A2,u2\n")
+    (tmp_path / "c.csv").write_text("record_id,title_raw\nA3,T3\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("record_id,title_raw,extra\n")
+    for path in (str(tmp_path), [str(tmp_path / "*.csv")]):
+        rows = read_records(spark, path, multi_line=multi_line).collect()
+        assert sorted((r.record_id, r.title_raw, r.url_raw) for r in rows) == [("A1", "T1", "u1"), ("A2", "T2", "u2"), ("A3", "T3", "")]
+    (tmp_path / "none").mkdir()
+    assert read_records(spark, str(tmp_path / "none"), multi_line=multi_line).count() == 0
