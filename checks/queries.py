@@ -130,12 +130,11 @@ def normalize_url(spark, sf):
         F.explode(F.array(*[
             F.struct(F.lit(name).alias("field"), F.col(c).alias("raw")) for name, c in fields
         ])).alias("f"),
-    ).select("record_id", "f.field", urls.normalize_url(F.col("f.raw")).alias("value"))
+    ).select("record_id", "f.*")
     by_page = table(spark, sf, "pages").select(
-        F.col("url").alias("record_id"), F.lit("page").alias("field"),
-        urls.normalize_url(F.col("url")).alias("value"),
-    )
-    return by_record.unionByName(by_page)
+        F.col("url").alias("record_id"), F.lit("page").alias("field"), F.col("url").alias("raw"))
+    given = by_record.unionByName(by_page)
+    return urls.with_normalized_urls(given, {"value": "raw"}).drop("raw")
 
 
 _QUERY = "regexp_extract(document_url_raw, '[?]([^#]*)', 1)"

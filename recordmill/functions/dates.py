@@ -82,30 +82,30 @@ def _clock_text(hour: Column, minute: Column, second: Column, fraction: Column,
     )
 
 
-def _iso(parts: Column) -> Column:
-    """ISO text of the pieces; null when they form no calendar date."""
-    names = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
-    named = F.try_element_at(names, F.lower(parts[1]))
-
-    def dated(month: Column) -> Column:
-        first = F.make_date(parts[0].try_cast("int"), month, F.lit(1))
-        return F.when(
-            parts[2].try_cast("int") <= F.dayofmonth(F.last_day(first)),
-            F.concat(
-                F.date_format(first, "yyyy-MM-"), _two(parts[2]),
-                _clock_text(*[parts[i] for i in range(3, 8)]),
-            ),
-        )
+def date_parts(pieces: Column) -> Column:
+    """Year, month, day and the clock's five parts of a usual shape; one piece for other text."""
+    return F.split(pieces, _MARK, -1)
 
+
+def iso_from_parts(parts: Column) -> Column:
+    """ISO text of ``date_parts``; null when they form no calendar date."""
+    part = lambda i: F.get(parts, i)  # noqa: E731  null where there is none, whatever is evaluated first
+    names = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
+    named = F.try_element_at(names, F.lower(part(1)))
+    month = F.coalesce(part(1).try_cast("int"), named)
+    first = F.make_date(part(0).try_cast("int"), month, F.lit(1))
     return F.when(
-        F.size(parts) == 8,
-        let(F.coalesce(parts[1].try_cast("int"), named), dated),
+        (F.size(parts) == 8) & (part(2).try_cast("int") <= F.dayofmonth(F.last_day(first))),
+        F.concat(
+            F.date_format(first, "yyyy-MM-"), _two(part(2)),
+            _clock_text(*[part(i) for i in range(3, 8)]),
+        ),
     )
 
 
 def native_date(pieces: Column) -> Column:
     """ISO text of a usual shape, null for blank, impossible or any other input."""
-    return let(F.split(pieces, _MARK, -1), _iso)
+    return let(date_parts(pieces), iso_from_parts)
 
 
 def _own_offsets_only(name, offset):

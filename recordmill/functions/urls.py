@@ -6,7 +6,7 @@ at the first ``#``, ``?`` and ``/`` instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.strings import let, or_blank, stripped
@@ -133,21 +133,35 @@ def _without_end_slash(scheme: Column, path: Column) -> Column:
     ).otherwise(F.rtrim(path, F.lit("/")))
 
 
-def _rebuild(parts: Column) -> Column:
-    scheme, netloc = F.lower(parts[0]), F.lower(parts[1])
-    path, query, fragment = parts[2], parts[3], parts[4]
+def url_parts(c: Column) -> Column:
+    """Scheme, location, path, query and fragment of an absolute URL; one piece for other text."""
+    # Cleaning left no line end, so it can part the pieces.
+    return F.split(F.regexp_replace(_clean(stripped(c)), _ABSOLUTE, "$1\n$2\n$3\n$4\n$5"), "\n", -1)
+
+
+def parts_query(parts: Column) -> Column:
+    """The canonical query of a URL's parts, blank without one."""
+    return F.when(
+        (F.size(parts) == 5) & (F.get(parts, 3) != ""), canonical_query(F.get(parts, 3))
+    ).otherwise(F.lit(""))
+
+
+def url_from_parts(parts: Column, query: Column) -> Column:
+    """Canonical form from ``url_parts`` and ``parts_query``; null for anything but an absolute URL."""
+    part = lambda i: F.get(parts, i)  # noqa: E731  null where there is none, whatever is evaluated first
+    scheme, netloc = F.lower(part(0)), F.lower(part(1))
     bracket = F.contains(netloc, F.lit("[")) | F.contains(netloc, F.lit("]"))
     return F.when(
-        (F.size(parts) == 5) & (F.try_element_at(parts, F.lit(2)) != ""),
+        (F.size(parts) == 5) & (part(1) != ""),
         F.when(
             ~bracket | netloc.rlike(_BRACKETED),
             F.concat(
                 scheme,
                 F.lit("://"),
                 netloc,
-                _without_end_slash(scheme, path),
-                let(canonical_query(query), lambda q: _prefixed("?", q)),
-                _prefixed("#", fragment),
+                _without_end_slash(scheme, part(2)),
+                _prefixed("?", query),
+                _prefixed("#", part(4)),
             ),
         ),
     )
@@ -155,9 +169,24 @@ def _rebuild(parts: Column) -> Column:
 
 def normalize_url(c: Column) -> Column:
     """Canonical form of an absolute URL, blank for anything else."""
-    # Cleaning left no line end, so it can part the pieces; other text stays one piece.
-    pieces = F.regexp_replace(_clean(stripped(c)), _ABSOLUTE, "$1\n$2\n$3\n$4\n$5")
-    return or_blank(let(F.split(pieces, "\n", -1), _rebuild))
+    return or_blank(let(
+        url_parts(c), lambda parts: let(parts_query(parts), lambda q: url_from_parts(parts, q))
+    ))
+
+
+def with_normalized_urls(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds the canonical form of URL columns, given as ``{new: old}``.
+
+    As ``normalize_url``, but the pieces are columns between projections, so that all but the
+    query's parameters is generated code.
+    """
+    parts, query = (lambda n: F.col(f"_parts_{n}")), (lambda n: F.col(f"_query_{n}"))
+    return (
+        df.withColumns({f"_parts_{n}": url_parts(F.col(old)) for n, old in columns.items()})
+        .withColumns({f"_query_{n}": parts_query(parts(n)) for n in columns})
+        .withColumns({n: or_blank(url_from_parts(parts(n), query(n))) for n in columns})
+        .drop(*[f"_{kind}_{n}" for n in columns for kind in ("parts", "query")])
+    )
 
 
 def _prefixed(mark: str, c: Column) -> Column:

@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.authors import normalize_authors
 from recordmill.functions.bulletin import normalize_bulletin
-from recordmill.functions.dates import date_pieces, finish_date, native_date, parse_other_date
+from recordmill.functions.dates import (
+    date_parts,
+    date_pieces,
+    finish_date,
+    iso_from_parts,
+    parse_other_date,
+)
 from recordmill.functions.strings import first_non_empty, not_blank, or_blank
 from recordmill.functions.text import finish_text, parse_markup
-from recordmill.functions.urls import normalize_url
+from recordmill.functions.urls import parts_query, url_from_parts, url_parts
 from recordmill.schema import (
     CANONICAL_COLUMNS,
     NORMALIZED_COLUMNS,
@@ -47,13 +53,19 @@ def conform_schema(df: DataFrame) -> DataFrame:
 
 
 def _normalized(raw: DataFrame) -> DataFrame:
-    """Normalized columns, the raw columns still needed, and ``_error``."""
+    """Normalized columns, the raw columns still needed, and ``_error``.
+
+    Pieces are columns between projections, and what needs functions over arrays (authors, query
+    parameters) has a projection of its own, so that the rest is generated code.
+    """
     parsed = (
         conform_schema(raw)
         .withColumnsRenamed({"bulletin_number": "_raw_bulletin"})
         .withColumns({
             "_published": date_pieces(F.col("published_at_raw")),
             "_event": date_pieces(F.col("event_date_raw")),
+            "_url": url_parts(F.col("url_raw")),
+            "_document": url_parts(F.col("document_url_raw")),
         })
         .withColumns({
             "_title_parsed": parse_markup(F.col("title_raw")),
@@ -61,18 +73,24 @@ def _normalized(raw: DataFrame) -> DataFrame:
             "_published_parsed": parse_other_date(F.col("_published")),
             "_event_parsed": parse_other_date(F.col("_event")),
         })
+        .withColumns({
+            "_published_parts": date_parts(F.col("_published")),
+            "_event_parts": date_parts(F.col("_event")),
+            "_url_query": parts_query(F.col("_url")),
+            "_document_query": parts_query(F.col("_document")),
+            "authors": normalize_authors(F.col("authors_raw")),
+        })
     )
     return parsed.withColumns({
         "bulletin_number": normalize_bulletin(F.col("_raw_bulletin")),
         "title": finish_text(F.col("title_raw"), F.col("_title_parsed")),
         "summary": finish_text(F.col("summary_raw"), F.col("_summary_parsed")),
-        "published_at": finish_date(native_date(F.col("_published")), F.col("_published_parsed")),
-        "event_date": finish_date(native_date(F.col("_event")), F.col("_event_parsed")),
+        "published_at": finish_date(iso_from_parts(F.col("_published_parts")), F.col("_published_parsed")),
+        "event_date": finish_date(iso_from_parts(F.col("_event_parts")), F.col("_event_parsed")),
         "status": F.col("status_raw"),
         "initiative": F.col("initiative_raw"),
-        "authors": normalize_authors(F.col("authors_raw")),
-        "canonical_url": normalize_url(F.col("url_raw")),
-        "canonical_document_url": normalize_url(F.col("document_url_raw")),
+        "canonical_url": or_blank(url_from_parts(F.col("_url"), F.col("_url_query"))),
+        "canonical_document_url": or_blank(url_from_parts(F.col("_document"), F.col("_document_query"))),
         "_error": F.coalesce(*[
             F.col(f"_{c}_parsed.error") for c in ("title", "summary", "published", "event")
         ]),

@@ -1,9 +1,12 @@
 """Plan shapes that must hold whatever the data size."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.raw_records import raw_records
+from recordmill.functions import urls
 from recordmill.operators import dedup, numbering, pages, quality, records
 from recordmill.staging import stage
 from recordmill.staging import checkpoint_dir
@@ -98,3 +101,17 @@ def test_staging_uses_the_named_folder(spark):
     assert checkpoint_dir(spark) == named
     df = stage(spark.range(3), "numbers")
     assert df.inputFiles()[0].removeprefix("file://").removeprefix("file:").startswith(named.removeprefix("file:"))
+
+
+def test_row_work_is_generated_code(spark):
+    """All of it but authors and query parameters, which are arrays, and have projections of their own."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    raw = spark.createDataFrame([("R1", "t")], "record_id string, title_raw string")
+    for df, columns in (
+        (records.evaluate_records(raw), ["bulletin_number", "title", "published_at", "canonical_url", "rejection_reason"]),
+        (urls.with_normalized_urls(raw, {"value": "title_raw"}), ["value"]),
+    ):
+        nodes = re.split(r"\n[ :]*\+- ", plan(df))
+        for column in columns:
+            made = [node for node in nodes if f" AS {column}#" in node]
+            assert made and all(node.startswith("*(") and "lambda" not in node for node in made), column
