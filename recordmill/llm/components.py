@@ -56,14 +56,17 @@ def reduced(links: DataFrame) -> DataFrame:
     return links.select("src", "dst").mapInArrow(run, "src long, dst long")
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, reduce: bool = True) -> DataFrame:
     """``node, component`` for every node of ``links(src, dst)`` (longs): the smallest node reachable.
 
+    ``reduce`` first replaces each task's links by a forest; pass False for links that are one.
+
     Alternates large-star and small-star steps until no link changes; each step is one
     aggregate and one join that AQE can split, over tables written to the shared folder.
     Runs jobs when called. Without links the result is empty.
     """
-    links = stage(reduced(links.where("src <> dst")).distinct(), "links")
+    links = links.where("src <> dst").select("src", "dst")
+    links = stage((reduced(links) if reduce else links).distinct(), "links")
     seen = None
     while True:
         both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))

@@ -24,7 +24,7 @@ from recordmill.llm import tokens as T
 LENGTH = 1024
 END = 0  # id after each document
 GROUP = 1024  # documents packed together
-BUFFER = 2 << 20  # tokens gathered before groups are dealt
+BUFFER = 1 << 20  # tokens gathered before groups are dealt
 CACHE = 1 << 20  # distinct words whose ids a worker remembers
 
 RESULT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -43,11 +43,11 @@ class Tokenizer:
     def __init__(self, path: str):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer as Whole
 
-        self.whole = Whole.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        del spec["model"]["merges"]  # ids follow the order of merges
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         # Printable stand-ins for the 256 bytes, as in every byte-level vocabulary.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -58,7 +58,8 @@ class Tokenizer:
             for word, i in spec["model"]["vocab"].items() if word not in self.added
         }
         self.words = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        points = np.arange(0x110000, dtype="<u4")
+        every = points[(points < 0xD800) | (points > 0xDFFF)].tobytes().decode("utf-32-le")
         self.kind = np.full(0x110000, _OTHER, np.uint8)
         for pattern, kind in ((r"\p{L}+", _LETTER), (r"\p{N}+", _DIGIT), (r"\p{White_Space}+", _SPACE)):
             for m in regex.finditer(pattern, every):
@@ -136,8 +137,10 @@ class Tokenizer:
         bounds = np.concatenate([[0], stop])[np.searchsorted(start, first)]
         tail = np.array([END], np.uint32)
         out = [np.concatenate([ids[a:b], tail]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        for i in marked:
-            whole = self.whole.encode(texts[i], add_special_tokens=False).ids
+        for i in marked:  # texts that spell out an added token
+            from tokenizers import Tokenizer as Whole
+
+            whole = Whole.from_file(self.path).encode(texts[i], add_special_tokens=False).ids
             out[i] = np.concatenate([np.array(whole, np.uint32), tail])
         return out
 

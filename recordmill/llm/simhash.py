@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     rows = stage(fingerprints(docs.select("doc_id", "text"), width=width).select("doc_id", "fp"), "fingerprints")
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
-    found = connected_components(fingerprint_links(prints))
+    found = connected_components(fingerprint_links(prints), reduce=False)
     named = prints.join(found, prints.fp == found.node, "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("root"))
     named = stage(named, "roots")

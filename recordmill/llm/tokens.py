@@ -8,13 +8,14 @@ than that.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -132,6 +133,15 @@ def ngrams(tok: Tokens, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[own]), own
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: workers stay after a task, and an executor holds several."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """The rows in slices that hold at most ``limit`` bytes of text, or one row."""
     for batch in batches:
@@ -145,6 +155,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             held += size
         if low < len(sizes):
             yield batch.slice(low)
+    _give_back()
 
 
 def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
