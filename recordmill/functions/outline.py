@@ -337,8 +337,10 @@ def _label_facts(page: _Page, labels: list[str]) -> list[dict]:
         if e.tag in VALUE_ELEMENTS:
             after[id(e.parent)] = e
     beside.reverse()
-    facts = []
+    facts, joined = [], "".join(names)
     for label in labels:
+        if label not in joined:
+            continue
         found = _Found(names, _all_of(label))
         value = next((v for e, v in beside if found.within(e.text_span)), None)
         if value is not None:
