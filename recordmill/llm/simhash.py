@@ -193,6 +193,15 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     )
 
 
+def _roots(rows: DataFrame) -> DataFrame:
+    """``fp, low, root`` for each different fingerprint of ``rows(doc_id, fp)``: its smallest id and its component. Runs jobs."""
+    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
+    found = connected_components(fingerprint_links(prints), reduce=False)
+    named = prints.join(found, prints.fp == found.node, "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("root"))
+    return stage(named, "roots")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, fp, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -202,11 +211,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Repeated rows give repeated rows. Runs jobs when called.
     """
     rows = stage(fingerprints(docs.select("doc_id", "text"), width=width).select("doc_id", "fp"), "fingerprints")
-    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
-    found = connected_components(fingerprint_links(prints), reduce=False)
-    named = prints.join(found, prints.fp == found.node, "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("root"))
-    named = stage(named, "roots")
+    named = _roots(rows)
     ids = stage(named.groupBy("root").agg(F.min("low").alias("component_id")), "ids")
     names = stage(named.join(ids, "root").select("fp", "component_id"), "names")
     return rows.join(names, "fp").select("doc_id", "fp", "component_id")
@@ -215,14 +220,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of repeated rows one stays. A group whose ids are all null keeps one of its rows.
-    Columns stay as they are.
+    Of repeated rows one stays. A group whose ids are all null keeps one of its rows; groups
+    are told apart by their fingerprints, whatever ids they share. Columns stay as they are.
     """
     own = "__fingerprint"
     marked = fingerprints(docs, own, width)
-    groups = near_duplicates(docs, width)
-    kept = stage(
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
-        .agg(F.min("fp").alias("fp")), "kept")
-    same = marked.doc_id.eqNullSafe(kept.component_id) & (marked[own] == kept.fp)
+    rows = stage(fingerprints(docs.select("doc_id", "text"), width=width).select("doc_id", "fp"), "fingerprints")
+    kept = _roots(rows).groupBy("root").agg(F.min(F.struct(F.col("low").isNull(), "low", "fp")).alias("first"))
+    kept = stage(kept.select(F.col("first.low").alias("low"), F.col("first.fp").alias("fp")), "kept")
+    same = marked.doc_id.eqNullSafe(kept.low) & (marked[own] == kept.fp)
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

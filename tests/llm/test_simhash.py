@@ -80,6 +80,16 @@ def test_groups_over_nulls_repeats_and_extra_columns(spark):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 4, 8]
 
 
+def test_different_texts_under_one_id_all_stay(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 9999, 60)) for _ in range(12)]
+    rows = [(None if i < 6 else 7, t) for i, t in enumerate(texts)]
+    rows += [(9, texts[0]), (None, texts[1]), (8, texts[6]), (7, texts[7])]
+    kept = S.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(9, texts[0]), *((None if i < 6 else 7, t) for i, t in enumerate(texts) if i)]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(df).count() == 0
