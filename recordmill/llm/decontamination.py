@@ -5,7 +5,12 @@ passage with substituted tokens still shares seeds with its source. Test-set see
 sorted index, sent to the workers in blocks of bounded size; documents are scanned once a
 block, whole and in place, without a shuffle. Around each shared seed the two texts are laid
 on one another and scored +1 for an equal token and -4 for another; the best stretch is an
-overlap if it is long enough. Case and punctuation do not count.
+overlap if it is long enough. If it is not, the longest window of at least 80 % equal tokens
+is one under the same bound. Case and punctuation do not count.
+
+No such window of ``MIN_TOKENS`` tokens is without a seed: it holds a run of four equal
+tokens, or else a run of three that one changed token parts from two more. The same holds for
+items of ``MIN_ITEM`` tokens; shorter ones must be equal as a whole.
 """
 
 from __future__ import annotations
@@ -22,9 +27,11 @@ from pyspark.sql import functions as F
 from recordmill.llm import tokens as T
 
 #: Selected (1) and ignored (0) positions of a window.
-MASKS = ("111101111", "110110110111", "101100111011", "110010101100111")
+MASKS = ("111101111", "1111", "111011")
+SHORT_MASK = "111"  # finds items of three tokens
 MIN_TOKENS = 13  # of an overlap; shorter items must be covered whole
-MIN_ITEM = 9  # tokens; shorter items contaminate nothing
+MIN_ITEM = 9  # tokens; shorter items must be equal as a whole
+SHORTEST = 3  # tokens; shorter items contaminate nothing
 MISMATCH = 4  # a stretch gains over 80 % equal tokens only
 BLOCK_BYTES = 8 << 20  # test-set text in one index
 SLICE = 1 << 20  # seed hits that are expanded at a time
@@ -67,11 +74,14 @@ class Index:
         seen: dict[bytes, int] = {}
         for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0)):
             part = tok.hash[tok.first[i] : tok.first[i + 1]]
-            if len(part) >= MIN_ITEM:
+            if len(part) >= SHORTEST:
                 seen.setdefault(part.tobytes(), i)
         kept = sorted(seen.values())
         tok = T.tokens(pa.array([texts[i] for i in kept], pa.string()), T.PLAIN_WORDS)
         found = [seeds(tok, mask) for mask in MASKS]
+        h, own = seeds(tok, SHORT_MASK)
+        short = tok.counts[tok.text_of()[own]] == SHORTEST
+        found.append((h[short], own[short]))
         h = np.concatenate([x for x, _ in found])
         at = np.concatenate([x for _, x in found])
         order = np.argsort(h, kind="stable")
@@ -87,11 +97,42 @@ def stretch(equal: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def window(equal: np.ndarray) -> tuple[int, int]:
+    """Bounds of the longest window of at least ``MISMATCH`` equal tokens for each other one."""
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
+    low = np.minimum.accumulate(score)
+    start = np.searchsorted(-low, -score)  # the first prefix that scores no more
+    end = int(np.argmax(np.arange(len(score)) - start))
+    return int(start[end]), end
+
+
+def overlap(equal: np.ndarray, size: int) -> tuple[int, int] | None:
+    """Bounds of the overlap with an item of ``size`` tokens on one diagonal, if there is one."""
+    if size < MIN_ITEM:
+        return (0, size) if len(equal) == size and equal.all() else None
+    least = min(MIN_TOKENS, size)
+    for a, b in (stretch(equal), window(equal)):
+        if b - a >= least:
+            return a, b
+    return None
+
+
+def _equal_counts(words: np.ndarray, at: np.ndarray, other: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Equal tokens of ``words`` from ``at`` and ``other`` from ``first``, over ``size`` tokens, for each row."""
+    out = np.zeros(len(at), np.int64)
+    for a, b in _slices(size):
+        n = size[a:b]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        same = words[np.repeat(at[a:b], n) + within] == other[np.repeat(first[a:b], n) + within]
+        out[a:b] = np.add.reduceat(same, np.cumsum(n) - n, dtype=np.int64)
+    return out
+
+
 def matches(tok: T.Tokens, index: Index) -> Iterator[tuple]:
     """``(text, item, n_tokens, n_equal, doc_start, doc_end, item_start, item_end)``: the best overlap of each pair."""
     diagonals = []  # text, item and shift of all shared seeds
-    text = tok.text_of()
-    for mask in MASKS:
+    text, lengths = tok.text_of(), np.diff(index.first)
+    for mask in (*MASKS, SHORT_MASK):
         h, own = seeds(tok, mask)
         low = np.searchsorted(index.hash, h)
         hit = low < len(index.hash)
@@ -104,7 +145,15 @@ def matches(tok: T.Tokens, index: Index) -> Iterator[tuple]:
             at, pos = index.at[low[each] + within], own[each]
             item, doc = index.item_of[at], text[pos]
             shift = (pos - tok.first[doc]) - (at - index.first[item])
-            diagonals.append(np.unique(np.stack([doc, item, shift], 1), axis=0))
+            hits = np.unique(np.stack([doc, item, shift], 1), axis=0)
+            doc, item, shift = hits.T
+            # Only diagonals with as many equal tokens as the shortest overlap needs are kept.
+            start = np.maximum(0, -shift)
+            size = np.minimum(lengths[item], tok.counts[doc] - shift) - start
+            equal = _equal_counts(tok.hash, tok.first[doc] + start + shift, index.tokens, index.first[item] + start, size)
+            least = np.minimum(MIN_TOKENS, lengths[item])
+            enough = np.where(least < MIN_ITEM, equal == lengths[item], equal * (MISMATCH + 1) >= least * MISMATCH)
+            diagonals.append(hits[enough])
     if not diagonals:
         return
     best: dict[tuple[int, int], tuple] = {}
@@ -113,8 +162,9 @@ def matches(tok: T.Tokens, index: Index) -> Iterator[tuple]:
         other = index.tokens[index.first[item] : index.first[item + 1]]
         low, high = max(0, -shift), min(len(other), len(words) - shift)
         equal = words[low + shift : high + shift] == other[low:high]
-        a, b = stretch(equal)
-        if b - a >= min(MIN_TOKENS, len(other)):
+        bounds = overlap(equal, len(other))
+        if bounds:
+            a, b = bounds
             found = (int(equal[a:b].sum()), b - a, low + a + shift, low + b + shift, low + a, low + b)
             if found[0] > best.get((doc, item), (0,))[0]:
                 best[doc, item] = found
@@ -146,7 +196,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each ``docs(doc_id, text)`` row and ``benchmark(item_id, text)`` item that overlap.
 
     Token bounds are those of the longest overlap (by equal tokens). Null and empty texts, and
-    items under ``MIN_ITEM`` tokens, overlap with nothing. Items of equal tokens are named by
+    items under ``SHORTEST`` tokens, overlap with nothing. Items of equal tokens are named by
     their smallest id; repeated documents give repeated rows; a null ``doc_id`` stays null.
     """
     context = docs.sparkSession.sparkContext

@@ -1,6 +1,7 @@
 """Spaced-seed overlaps against a comparison of every pair on every diagonal."""
 
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -115,3 +116,41 @@ def test_whole_table_against_brute_force(spark, sf_dir):
     some = {d for d, _ in rows}
     want = brute(rows, [tuple(r) for r in items.select("item_id", "text").collect()])
     assert {p for p in got if p[0] in some} == want
+
+
+def similar(a, b):
+    """By definition: 80 % equal tokens of a whole item or of 13 tokens or more, or a short item that is equal."""
+    for shift in range(-len(b), len(a)):
+        low, high = max(0, -shift), min(len(b), len(a) - shift)
+        equal = [a[k + shift] == b[k] for k in range(low, high)]
+        if len(b) < 9:
+            if len(equal) == len(b) and all(equal):
+                return True
+            continue
+        for s in range(len(equal)):
+            for e in range(s + min(13, len(b)), len(equal) + 1):
+                if 5 * sum(equal[s:e]) >= 4 * (e - s):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("size", [3, 4, 6, 8, 9, 10, 11, 12, 13, 15, 16, 18, 20, 28])
+def test_every_similar_item_is_found(size):
+    """Changed tokens in all places, up to one more than the definition allows."""
+    rng = np.random.default_rng(size)
+    item = [f"i{k}" for k in range(size)]
+    most = size // 5 + 1 if size >= 9 else 1
+    places = [p for n in range(most + 1) for p in combinations(range(size), n)]
+    if len(places) > 1200:
+        places = [places[i] for i in rng.choice(len(places), 1200, replace=False)]
+    docs = [["x"] * 3 + [f"y{k}" if k in p else w for k, w in enumerate(item)] + ["z"] * 2 for p in places]
+    index = D.Index.of([1], [" ".join(item)])
+    tok = T.tokens(pa.array([" ".join(d) for d in docs]), T.PLAIN_WORDS)
+    found = {m[0] for m in D.matches(tok, index)}
+    assert found == {n for n, d in enumerate(docs) if similar(d, item)}
+
+
+def test_longest_window():
+    assert D.window(np.array([1, 0, 0, 1, 1, 1, 0, 1, 0, 0], bool)) == (3, 8)
+    assert D.window(np.array([1, 1, 0, 1, 1, 1, 1, 0, 1, 1], bool)) == (0, 10)
+    assert D.window(np.zeros(4, bool)) == (0, 0)
