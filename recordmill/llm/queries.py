@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.llm import (
-    decontamination, embeddings, kneser_ney, language, main_text, packing, quality, simhash, substrings, toxicity,
+    decontamination, embeddings, filter_audit, kneser_ney, language, main_text, merkle, neighbours, packing, quality, simhash,
+    substrings, toxicity,
 )
 from recordmill.llm.training import text_crc
 
@@ -81,6 +82,18 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"))
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": embedding_groups,
     "op2_benchmark_decontamination": benchmark_overlaps,
@@ -92,7 +105,13 @@ QUERIES = {
     "op8_toxicity": toxicity_scores,
     "op9_html_extraction": page_texts,
     "op10_substring_dedup": repeated_passages,
+    "op11_nearest_neighbours": nearest_vectors,
+    "op12_filter_audit": filter_interactions,
+    "op13_merkle_manifest": dataset_manifest,
 }
 
-#: DuckDB SQL for those that SQL can express: none of these can be, within bounds, on whole tables.
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL for those that SQL can express.
+ORACLE: dict[str, str] = {
+    "op12_filter_audit": filter_audit.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
+}
