@@ -53,7 +53,7 @@ def interactions(classes: DataFrame, letters: str, weights: list[str]) -> DataFr
     lost = [f"{w}_lost" for w in weights]
     counts = ["kept", "removed", "redundant", "unique_fails", *lost, "shapley"]
 
-    def audit(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def audit(key, rows):
         masks = rows["mask"].to_numpy()
         fails = (masks[:, None] >> np.arange(n)) & 1 == 1
         size = rows["n"].to_numpy(np.int64)

@@ -57,8 +57,12 @@ def chi_square_quantile(p: float, degrees: int) -> float:
 
 
 def directions(dim: int, count: int) -> np.ndarray:
-    """The stable projection of vectors of length ``dim``, the same in every task."""
-    return np.random.default_rng((_SEED, dim)).standard_normal((dim, count))
+    """The stable projection of vectors of length ``dim``, the same in every task.
+
+    Each direction is scaled to its expected length, since one draw serves all pairs.
+    """
+    drawn = np.random.default_rng((_SEED, dim)).standard_normal((dim, count))
+    return drawn * np.sqrt(dim / (drawn * drawn).sum(0))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
