@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recordmill.llm import neighbours as N
 
@@ -24,7 +25,7 @@ def brute(rows, every=50, k=5):
 
 def result(df, **more):
     out, held = [], []
-    rows = N.nearest(df, df.vec_id % 50 == 0, **more).collect()
+    rows = N.nearest(df, F.col("vec_id") % 50 == 0, **more).collect()
     for q in sorted({r.query_id for r in rows}):
         mine = sorted((r for r in rows if r.query_id == q), key=lambda r: r["rank"])
         copies = sum(r["rank"] == 1 for r in mine)
