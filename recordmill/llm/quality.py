@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm import tokens as T
-from recordmill.llm.training import fit_in_task, in_fixed_order, labelled_sample, sigmoid
+from recordmill.llm.training import MAX_TRAIN_CHARS, fit_in_task, in_fixed_order, labelled_sample, sigmoid
 
 BITS = 18
 MAX_TRAIN_ROWS = 8_000
@@ -89,10 +89,11 @@ def score_texts(texts: pa.Array, w: np.ndarray) -> np.ndarray:
     return sigmoid(total)
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = MAX_TRAIN_ROWS) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = MAX_TRAIN_ROWS, max_train_chars: int = MAX_TRAIN_CHARS) -> np.ndarray:
     """Weights from the labelled documents that ``learn`` allows; all zero without any.
 
-    ``labels(doc_id, quality)``: 1 is good, null or contradicting labels are not used.
+    ``labels(doc_id, quality)``: 1 is good, null or contradicting labels are not used,
+    nor are texts over ``max_train_chars``; an id gives one training row.
     """
 
     def run(batches):
@@ -106,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int
         order = in_fixed_order(ids, 4) if ids else []
         return fit([buckets[k] for k in order], [values[k] for k in order], np.array([float(ys[k] > 0) for k in order])).tobytes()
 
-    sample = labelled_sample(docs, labels, "quality", learn, max_train_rows).select("doc_id", "text", "y")
+    sample = labelled_sample(docs, labels, "quality", learn, max_train_rows, max_chars=max_train_chars).select("doc_id", "text", "y")
     return np.frombuffer(fit_in_task(sample, run), np.float64)
 
 

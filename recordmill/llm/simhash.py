@@ -223,10 +223,11 @@ def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Of repeated rows one stays. A group whose ids are all null keeps one of its rows; groups
     are told apart by their fingerprints, whatever ids they share. Columns stay as they are.
     """
-    own = "__fingerprint"
-    marked = fingerprints(docs, own, width)
-    rows = stage(fingerprints(docs.select("doc_id", "text"), width=width).select("doc_id", "fp"), "fingerprints")
-    kept = _roots(rows).groupBy("root").agg(F.min(F.struct(F.col("low").isNull(), "low", "fp")).alias("first"))
+    own = "_fingerprint"
+    while own.lower() in (c.lower() for c in docs.columns):
+        own = f"_{own}"
+    marked = stage(fingerprints(docs, own, width), "fingerprints")
+    kept = _roots(marked.select("doc_id", F.col(own).alias("fp"))).groupBy("root").agg(F.min(F.struct(F.col("low").isNull(), "low", "fp")).alias("first"))
     kept = stage(kept.select(F.col("first.low").alias("low"), F.col("first.fp").alias("fp")), "kept")
     same = marked.doc_id.eqNullSafe(kept.low) & (marked[own] == kept.fp)
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

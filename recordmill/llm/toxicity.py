@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm import tokens as T
-from recordmill.llm.training import fit_in_task, in_fixed_order, labelled_sample, sigmoid
+from recordmill.llm.training import MAX_TRAIN_CHARS, fit_in_task, in_fixed_order, labelled_sample, sigmoid
 
 BITS = 20
 FACTORS = 4
@@ -125,10 +125,11 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 4, rate: float
     return Machine(kept, params)
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = MAX_TRAIN_ROWS) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = MAX_TRAIN_ROWS, max_train_chars: int = MAX_TRAIN_CHARS) -> Machine:
     """A machine from the labelled documents that ``learn`` allows.
 
-    ``labels(doc_id, toxic)``: 1 is toxic, null or contradicting labels are not used.
+    ``labels(doc_id, toxic)``: 1 is toxic, null or contradicting labels are not used,
+    nor are texts over ``max_train_chars``; an id gives one training row.
     Without any usable row every score is one half.
     """
 
@@ -142,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int
         order = in_fixed_order(ids, 8) if ids else []
         return fit([found[k] for k in order], np.array([float(ys[k] > 0) for k in order])).to_bytes()
 
-    sample = labelled_sample(docs, labels, "toxic", learn, max_train_rows).select("doc_id", "text", "y")
+    sample = labelled_sample(docs, labels, "toxic", learn, max_train_rows, max_chars=max_train_chars).select("doc_id", "text", "y")
     return Machine.from_bytes(fit_in_task(sample, run))
 
 
