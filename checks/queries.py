@@ -443,7 +443,7 @@ def _outlined(spark, sf):
 
 def _extracted(spark, sf):
     extracted = pages.extract_pages(seed_pages(spark, sf), scraped_at=F.lit(_SCRAPED))
-    return stage(pages.latest_versions(extracted), "extracted")
+    return pages.latest_versions(extracted)
 
 
 def _page():

@@ -62,8 +62,7 @@ _OTHER_RANK = 100
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
 # What a tag holds up to its ">" with all quotes closed.
 _REST = re.compile(r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+""")
-# Work on unclosed quotes, as a multiple of a page's length; beyond it a tag ends at its first ">".
-_PATIENCE = 8
+_TAG_MARK = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(
     r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']*))"
 )
@@ -143,6 +142,24 @@ class _Element:
         return own
 
 
+def _tag_ends(html: str) -> tuple[list[int], list[int]]:
+    """Places of all ``>`` and quotes, and where a tag that is open and unquoted at each of them ends (-1: a quote stays open).
+
+    Filled from right to left: a quote goes on after its partner.
+    """
+    places = [m.start() for m in _TAG_MARK.finditer(html)]
+    ends = [-1] * (len(places) + 1)
+    partner = {'"': len(places), "'": len(places)}
+    for i in range(len(places) - 1, -1, -1):
+        mark = html[places[i]]
+        if mark == ">":
+            ends[i] = places[i]
+        else:
+            ends[i] = ends[min(partner[mark] + 1, len(places))]
+            partner[mark] = i
+    return places, ends
+
+
 class _Page:
     """All elements and visible text nodes of a page in document order."""
 
@@ -157,7 +174,7 @@ class _Page:
 
     def _read(self, html: str) -> None:
         """One pass: no part of a page is looked at more than a fixed number of times."""
-        at, self._patience = 0, _PATIENCE * len(html)
+        at, self._ends = 0, None
         last_end = html.rfind(">")
         while (tag := html.find("<", at)) >= 0:
             if html.startswith("<!--", tag):
@@ -194,11 +211,15 @@ class _Page:
 
     def _tag_end(self, html: str, at: int) -> int:
         """The first ``>`` outside quotes, or the first one if a quote is never closed."""
-        if self._patience > 0:
+        if self._ends is None:
             end = _REST.match(html, at).end()
             if html.startswith(">", end):
                 return end
-            self._patience -= end - at
+            self._ends = _tag_ends(html)  # a quote stays open: from here on ends are looked up
+        places, ends = self._ends
+        end = ends[bisect_left(places, at)]
+        if end >= 0:
+            return end
         end = html.find(">", at)
         return len(html) if end < 0 else end
 

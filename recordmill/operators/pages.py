@@ -14,6 +14,7 @@ from recordmill.functions.bulletin import bulletin_from_url
 from recordmill.functions.outline import page_outline
 from recordmill.functions.strings import first_non_empty, not_blank, or_blank
 from recordmill.schema import EVENT_COLUMNS, PROJECT_COLUMNS
+from recordmill.staging import stage
 
 # Labels of the project fields, by priority.
 TITLE_LABEL = "Título"
@@ -213,15 +214,40 @@ def latest_versions(extracted: DataFrame) -> DataFrame:
     """One row for each seed and page number; what the operators below expect.
 
     Of a page stored more than once, a fetched version is taken before others, then the one
-    with more events, then the greatest by error, status and content.
+    with more events, then the greatest by error, status and a digest of its content.
+
+    Runs jobs: the input is written once, and versions are chosen on narrow rows (key, rank,
+    place in the written table), so no exchange carries a page's content. Only if a page is
+    stored more than once do the written rows meet the places to be left out.
     """
-    version = F.struct(
+    rank = F.struct(
         F.col("fetched"), F.size("events").alias("n"), F.col("error"), F.col("http_status"),
-        F.xxhash64("events", "project.detail_url", "project.title").alias("digest"),
-        F.struct(*_OUTCOME_FIELDS).alias("row"),
+        F.xxhash64("events", "project").alias("digest"),
     )
-    best = extracted.groupBy("seed_url", "page_no").agg(F.max(version).alias("_best"))
-    return best.select("seed_url", "page_no", "_best.row.*")
+    placed = stage(
+        extracted.select("seed_url", "page_no", *_OUTCOME_FIELDS).withColumns(
+            {"_rank": rank, "_place": F.monotonically_increasing_id()}),
+        "extracted")
+    rows = placed.drop("_rank", "_place")
+    repeated = stage(repeated_pages(placed), "repeated")
+    if repeated.isEmpty():
+        return rows
+    return placed.join(older_versions(placed, repeated), "_place", "left_anti").select(*rows.columns)
+
+
+def repeated_pages(placed: DataFrame) -> DataFrame:
+    """``seed_url, page_no, _kept`` of the pages that are stored more than once: the place of the version to keep."""
+    return placed.groupBy("seed_url", "page_no").agg(
+        F.max(F.struct("_rank", "_place"))["_place"].alias("_kept"), F.count(F.lit(1)).alias("_versions")
+    ).where("_versions > 1").drop("_versions")
+
+
+def older_versions(placed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``_place`` of the versions to leave out."""
+    keys = ["seed_url", "page_no"]
+    own, kept = placed.select(*keys, "_place"), repeated.select(*(F.col(k).alias(f"_{k}") for k in keys), "_kept")
+    same = F.col("seed_url").eqNullSafe(F.col("_seed_url")) & F.col("page_no").eqNullSafe(F.col("_page_no"))
+    return own.join(kept, same & (F.col("_place") != F.col("_kept")), "left_semi").select("_place")
 
 
 def seed_outcomes(extracted: DataFrame) -> DataFrame:

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.schema import PARSE_ERROR_FIELDS
 
 
+def record_counts() -> list[Column]:
+    """The aggregates over evaluated records that the report is made of."""
+    return [
+        F.count(F.lit(1)).alias("input_rows"),
+        F.count_if(F.col("rejection_reason") != "").alias("rejected_rows"),
+        *[F.count_if(F.col(f"parse_failed.{c}")).alias(f"_{c}") for c in PARSE_ERROR_FIELDS],
+    ]
+
+
 def parse_errors_by_field(evaluated: DataFrame) -> DataFrame:
     """One row: for each counted field, values that were given but could not be parsed."""
     return evaluated.agg(*[
@@ -26,8 +35,12 @@ def duplicates_removed(grouped: DataFrame) -> DataFrame:
     return grouped.agg(F.count_if(~F.col("is_canonical")).alias("duplicates_removed"))
 
 
-def quality_report(evaluated: DataFrame, grouped: DataFrame) -> DataFrame:
-    """The one-row run report."""
+def quality_report(evaluated: DataFrame, grouped: DataFrame, counted: dict[str, int] | None = None) -> DataFrame:
+    """The one-row run report.
+
+    ``counted`` holds the values of ``record_counts()`` if the job that wrote ``evaluated``
+    observed them; its rows are not read again then.
+    """
     groups = (
         grouped.groupBy("group_digest")
         .agg(
@@ -43,16 +56,12 @@ def quality_report(evaluated: DataFrame, grouped: DataFrame) -> DataFrame:
         )
     )
     totals = groups.scalar()
+    if counted is None:
+        counts = evaluated.agg(*record_counts())
+    else:
+        counts = evaluated.sparkSession.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counted.items()])
     return (
-        evaluated.agg(
-            F.count(F.lit(1)).alias("input_rows"),
-            F.count_if(F.col("rejection_reason") != "").alias("rejected_rows"),
-            *[
-                F.count_if(F.col(f"parse_failed.{c}")).alias(f"_{c}")
-                for c in PARSE_ERROR_FIELDS
-            ],
-        )
-        .withColumn("_totals", totals)
+        counts.withColumn("_totals", totals)
         .select(
             "input_rows",
             F.col("_totals.kept").alias("normalized_rows"),

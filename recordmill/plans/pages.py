@@ -15,7 +15,6 @@ from recordmill.operators.pages import (
     latest_versions,
 )
 from recordmill.sources import sinks
-from recordmill.staging import stage
 
 
 @dataclass(frozen=True)
@@ -44,13 +43,13 @@ def run_pages(
     pages: DataFrame, base_url: str | None = None, scraped_at: Column | None = None,
     seeds: DataFrame | None = None,
 ) -> PageResult:
-    """Parse every page once, stage the result, and derive the three outputs from it.
+    """Parse every page once into a staged table, and derive the three outputs from it.
 
     ``seeds(seed_no, seed_url)``, as ``read_seeds`` gives them, puts the report in their order.
     """
     if seeds is not None:
         pages = seed_pages(seeds, pages)
-    extracted = stage(latest_versions(extract_pages(pages, base_url, scraped_at)), "extracted")
+    extracted = latest_versions(extract_pages(pages, base_url, scraped_at))
     report = extract_report(extracted)
     return PageResult(
         projects=extract_projects(extracted),

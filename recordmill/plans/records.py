@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from recordmill.operators.dedup import (
     assign_duplicate_groups,
@@ -12,7 +12,7 @@ from recordmill.operators.dedup import (
     with_group_columns,
 )
 from recordmill.operators.numbering import assign_canonical_ids
-from recordmill.operators.quality import quality_report
+from recordmill.operators.quality import quality_report, record_counts
 from recordmill.operators.records import (
     evaluate_records,
     filter_canonical,
@@ -36,10 +36,12 @@ def run_records(raw: DataFrame) -> RecordResult:
     """Run the job on raw records.
 
     Normalization and the group join run once each: both results are staged, because
-    several outputs read them. The HTML snippet is in no output and is left out.
+    several outputs read them. The job that writes the records also counts them for the
+    report. The HTML snippet is in no output and is left out.
     """
+    counts = Observation("records")
     evaluated = stage(
-        with_group_columns(evaluate_records(raw)).drop("html_snippet"), "evaluated"
+        with_group_columns(evaluate_records(raw)).drop("html_snippet").observe(counts, *record_counts()), "evaluated"
     )
     valid, rejected = split_rejects(evaluated)
     grouped = stage(assign_duplicate_groups(valid), "grouped")
@@ -47,7 +49,7 @@ def run_records(raw: DataFrame) -> RecordResult:
         canonical=project_output(assign_canonical_ids(filter_canonical(grouped))),
         rejected=rejected,
         clusters=duplicate_clusters(grouped),
-        report=quality_report(evaluated, grouped),
+        report=quality_report(evaluated, grouped, counts.get),
     )
 
 

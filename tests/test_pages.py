@@ -240,3 +240,25 @@ def test_scraped_at_is_an_iso_time(spark):
     import datetime
     at = datetime.datetime.fromisoformat(row.scraped_at)
     assert abs(datetime.datetime.now(datetime.timezone.utc) - at).total_seconds() < 600
+
+
+def test_tag_ends_are_those_of_the_rule():
+    """The first ``>`` outside quotes, or the first one if a quote is never closed; linear on hostile pages."""
+    import random
+    import time
+
+    from recordmill.functions import outline
+
+    rng = random.Random(4)
+    for _ in range(3000):
+        html = "".join(rng.choice("a >'\"=<") for _ in range(rng.randint(0, 24)))
+        places, ends = outline._tag_ends(html)
+        for at in range(len(html)):
+            end = outline._REST.match(html, at).end()
+            want = end if html.startswith(">", end) else -1
+            i = next((k for k, p in enumerate(places) if p >= at), len(places))
+            assert ends[i] == want
+    for piece in ("<a b='", '<a "x\' >', "<a '>\"", "<p x=\"'>"):
+        start = time.time()
+        outline._Page(piece * 100_000)
+        assert time.time() - start < 20

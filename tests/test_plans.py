@@ -115,3 +115,35 @@ def test_row_work_is_generated_code(spark):
         for column in columns:
             made = [node for node in nodes if f" AS {column}#" in node]
             assert made and all(node.startswith("*(") and "lambda" not in node for node in made), column
+
+
+PAGE_ROWS = "seed_url string, page_no int, http_status int, html string, fetch_error string"
+
+
+def test_no_exchange_carries_page_content_when_versions_are_chosen(spark, monkeypatch):
+    seen = []
+
+    def spied(df, name):
+        seen.append((name, plan(df)))
+        return stage(df, name)
+
+    monkeypatch.setattr(pages, "stage", spied)
+    rows = [(f"https://h/?b={i}", 1, 200, "<table><tr><th>Date</th></tr><tr><td>2024-01-02</td></tr></table>", None) for i in range(9)]
+    df = spark.createDataFrame(rows, PAGE_ROWS)
+    latest = pages.latest_versions(pages.extract_pages(df, scraped_at=F.lit("")))
+    assert [name for name, _ in seen] == ["extracted", "repeated"]
+    assert "Exchange" not in seen[0][1] and "events" not in seen[1][1] and "project" not in seen[1][1]
+    assert "Exchange" not in plan(latest) and "Join" not in plan(latest) and latest.count() == 9
+    seen.clear()
+    again = pages.latest_versions(pages.extract_pages(df.union(df.limit(2)).union(spark.createDataFrame([(None, 1, 200, "", None)] * 2, PAGE_ROWS)), scraped_at=F.lit("")))
+    assert again.count() == 10 and again.columns == latest.columns
+
+
+def test_the_report_does_not_read_the_records_again(spark, sf_dir):
+    from recordmill.plans import records as job
+    result = job.run_records(raw_records(spark, sf_dir))
+    text = plan(result.report)
+    assert "parse_failed" not in text and "rejection_reason" not in text
+    evaluated = stage(dedup.with_group_columns(records.evaluate_records(raw_records(spark, sf_dir))), "evaluated")
+    grouped = dedup.assign_duplicate_groups(records.split_rejects(evaluated)[0])
+    assert result.report.collect() == quality.quality_report(evaluated, grouped).collect()
