@@ -1,9 +1,9 @@
 """Global order and dense numbers without a single-task sort.
 
-Rows are range-partitioned and sorted, then written with their place: range bounds are
+Rows are range-partitioned and sorted, then checkpointed with their place: range bounds are
 sampled, so a recomputation could move rows between partitions. A row's number is its
 position in its partition plus the sizes of the partitions before, a table of one row for
-each partition, for which only the partition column is read.
+each partition.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordmill.schema import CANONICAL_COLUMNS
-from recordmill.staging import stage
+from recordmill.staging import checkpointed
 
 # Prefix and least width of a canonical id.
 ID_FORMAT = "CAN-%06d"
@@ -44,28 +44,26 @@ def partition_sizes(placed: DataFrame) -> DataFrame:
 def assign_canonical_ids(canonical: DataFrame) -> DataFrame:
     """Adds ``canonical_id`` and ``kept_record_id`` in canonical order.
 
-    Runs jobs. Rows come out in order over the partitions, so a file sink keeps it.
+    Runs jobs. Rows come out in order over the partitions, so a file sink keeps it: the sorted
+    ranges are checkpointed, which keeps their partitions as they are, and are only numbered
+    when they are read. No second exchange of rows is needed.
     """
     order = canonical_order()
     place = F.col("_place")
-    placed = stage(
+    placed = checkpointed(
         with_digest(canonical).repartitionByRange(*order).sortWithinPartitions(*order)
         .drop(_DIGEST).withColumn("_place", F.monotonically_increasing_id())
         .withColumns({
             "_part": F.shiftright(place, _POSITION_BITS).cast("int"),
             "_place": place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
-        }),
-        "placed",
+        })
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = partition_sizes(placed).select(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn("_number", F.col("_offset") + place + 1)
-        .drop("_part", "_place", "_offset")
-        .repartitionByRange("_number").sortWithinPartitions("_number")
-        .withColumn("canonical_id", F.format_string(ID_FORMAT, F.col("_number")))
+        .withColumn("canonical_id", F.format_string(ID_FORMAT, F.col("_offset") + place + 1))
         .withColumn("kept_record_id", F.col("record_id"))
-        .drop("_number")
+        .drop("_part", "_place", "_offset")
     )

@@ -147,3 +147,14 @@ def test_the_report_does_not_read_the_records_again(spark, sf_dir):
     evaluated = stage(dedup.with_group_columns(records.evaluate_records(raw_records(spark, sf_dir))), "evaluated")
     grouped = dedup.assign_duplicate_groups(records.split_rejects(evaluated)[0])
     assert result.report.collect() == quality.quality_report(evaluated, grouped).collect()
+
+
+def test_numbers_are_given_without_another_exchange_of_rows(spark, valid):
+    canonical = records.filter_canonical(dedup.assign_duplicate_groups(valid))
+    numbered = numbering.assign_canonical_ids(canonical)
+    text = plan(numbered)
+    assert "rangepartitioning" not in text and "SortMergeJoin" not in text
+    assert not [line for line in text.splitlines() if "Exchange" in line and "_part" not in line and "SinglePartition" not in line and "Broadcast" not in line]
+    rows = numbered.select("canonical_id", "record_id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).orderBy("p", "at").collect()
+    assert [r.canonical_id for r in rows] == [numbering.ID_FORMAT % n for n in range(1, len(rows) + 1)]
+    assert [r.record_id for r in rows] == sorted(r.record_id for r in rows)
