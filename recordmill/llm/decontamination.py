@@ -15,6 +15,7 @@ items of ``MIN_ITEM`` tokens; shorter ones must be equal as a whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm import tokens as T
+from recordmill.staging import stage
 
 #: Selected (1) and ignored (0) positions of a window.
 MASKS = ("111101111", "1111", "111011")
@@ -38,7 +40,7 @@ SLICE = 1 << 20  # seed hits that are expanded at a time
 
 RESULT = (
     "doc_id long, item_id long, n_tokens int, n_equal int, similarity double, "
-    "doc_start int, doc_end int, item_start int, item_end int"
+    "doc_start int, doc_end int, item_start int, item_end int, n_items long"
 )
 
 
@@ -66,9 +68,10 @@ class Index:
     first: np.ndarray
     item_of: np.ndarray  # item number of each token
     ids: list
+    copies: list  # items that have each one's tokens
 
     @classmethod
-    def of(cls, ids: list, texts: list) -> Index:
+    def of(cls, ids: list, texts: list, copies: list | None = None) -> Index:
         """Items of equal tokens count once, under their smallest id."""
         tok = T.tokens(pa.array(texts, pa.string()), T.PLAIN_WORDS)
         seen: dict[bytes, int] = {}
@@ -85,7 +88,7 @@ class Index:
         h = np.concatenate([x for x, _ in found])
         at = np.concatenate([x for _, x in found])
         order = np.argsort(h, kind="stable")
-        return cls(h[order], at[order], tok.hash, tok.first, tok.text_of(), [ids[i] for i in kept])
+        return cls(h[order], at[order], tok.hash, tok.first, tok.text_of(), [ids[i] for i in kept], [copies[i] if copies else 1 for i in kept])
 
 
 def stretch(equal: np.ndarray) -> tuple[int, int]:
@@ -182,22 +185,49 @@ def _slices(n: np.ndarray) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def _with_digest(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text, digest`` of the items of ``SHORTEST`` tokens or more; the digest is one of the tokens."""
+
+    def run(batches):
+        for part in T.chunks(batches):
+            tok = T.tokens(part.column(1), T.PLAIN_WORDS)
+            digests = [hashlib.sha256(tok.hash[a:b].tobytes()).digest() for a, b in zip(tok.first, tok.first[1:])]
+            kept = pa.array(tok.counts >= SHORTEST)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.binary())], ["item_id", "text", "digest"]).filter(kept)
+
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
+    return items.mapInArrow(run, "item_id long, text string, digest binary")
+
+
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """``item_id, class_id`` of each row of ``benchmark(item_id, text)`` that has a name and can contaminate.
+
+    Items of equal tokens are one class, named by its smallest id; ``overlaps`` reports classes.
+    """
+    items = _with_digest(benchmark)
+    classes = items.groupBy("digest").agg(F.min("item_id").alias("class_id"))
+    return items.where("item_id is not null").join(classes, "digest").select("item_id", "class_id")
+
+
 def _indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """The items' indexes, each over at most about ``BLOCK_BYTES`` of text."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    """The indexes of the items' classes, each over at most about ``BLOCK_BYTES`` of text, or one text. Runs jobs."""
+    classes = stage(
+        _with_digest(benchmark).groupBy("digest").agg(F.min("item_id").alias("class_id"), F.min("text").alias("text"), F.count("*").alias("copies")),
+        "item-classes")
+    total = classes.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        yield Index.of([r.item_id for r in rows], [r.text for r in rows])
+        rows = classes.where(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == b).collect()
+        yield Index.of([r.class_id for r in rows], [r.text for r in rows], [r.copies for r in rows])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each ``docs(doc_id, text)`` row and ``benchmark(item_id, text)`` item that overlap.
 
     Token bounds are those of the longest overlap (by equal tokens). Null and empty texts, and
-    items under ``SHORTEST`` tokens, overlap with nothing. Items of equal tokens are named by
-    their smallest id; repeated documents give repeated rows; a null ``doc_id`` stays null.
+    items under ``SHORTEST`` tokens, overlap with nothing. Items of equal tokens, ``n_items`` of
+    them, are one, under their smallest id, and ``item_classes`` lists them; the result is the
+    same for any ``BLOCK_BYTES``. Repeated documents give repeated rows; a null ``doc_id`` stays null.
     """
     context = docs.sparkSession.sparkContext
     parts = []
@@ -209,11 +239,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ids = part.column(0).to_pylist()
                 tok = T.tokens(part.column(1), T.PLAIN_WORDS)
                 rows = [
-                    (ids[d], shared.value.ids[i], size, n, n / size, *bounds)
+                    (ids[d], shared.value.ids[i], size, n, n / size, *bounds, shared.value.copies[i])
                     for d, i, size, n, *bounds in matches(tok, shared.value)
                 ]
                 if rows:
-                    kinds = [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.float64()] + [pa.int32()] * 4
+                    kinds = [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.float64()] + [pa.int32()] * 4 + [pa.int64()]
                     names = [f.split()[0] for f in RESULT.split(", ")]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 

@@ -81,11 +81,14 @@ def test_empty_tables(spark):
 
 def test_blocks_give_the_same(spark, monkeypatch):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
-    items = spark.createDataFrame([i for i in ITEMS if i[0] != 2], "item_id long, text string")
+    copies = [(20 + i, t.upper() + "!") for i, (_, t) in enumerate(ITEMS) if t]
+    items = spark.createDataFrame([*ITEMS, *copies], "item_id long, text string")
     want = sorted(map(tuple, D.overlaps(docs, items).collect()), key=repr)
     monkeypatch.setattr(D, "BLOCK_BYTES", 60)
     assert sorted(map(tuple, D.overlaps(docs, items).collect()), key=repr) == want
-    assert D.drop_contaminated(docs, items).count() == 4
+    assert want and all(r[-1] >= 2 and r[1] < 20 for r in want)
+    classes = {r.item_id: r.class_id for r in D.item_classes(items).collect()}
+    assert all(classes[i] == i for i in {r[1] for r in want}) and all(classes.get(20 + i, own[0]) == classes.get(own[0]) for i, own in enumerate(ITEMS) if own[0] in classes)
 
 
 @pytest.mark.parametrize("seed", range(3))
