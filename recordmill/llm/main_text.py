@@ -27,7 +27,8 @@ from recordmill.llm.training import fit_in_task, fraction_below
 MAX_TRAIN_ROWS = 1_500  # pages
 MAX_TRAIN_BLOCKS = 400  # longer pages are no training pages
 BITS = 14
-DEPTH = 24  # nearest open elements that give features
+DEPTH = 24  # nearest open elements whose names are all features; names of PRIOR are at any depth
+NAMES = 12  # of an attribute, besides those of PRIOR
 
 # Element and class names of HTML practice.
 INLINE = frozenset(
@@ -51,6 +52,7 @@ PRIOR = {
           "r:navigation r:banner r:contentinfo r:complementary r:search r:form r:dialog r:alert r:alertdialog r:menu r:menubar",
     -8.0: "t:header c:header c:masthead c:topbar",
 }
+KNOWN = frozenset(f for names in PRIOR.values() for f in names.split())
 _TAG = re.compile(r"[a-zA-Z][^\s/>]*+")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 _NAME = re.compile(r"[A-Za-z]++")
@@ -83,6 +85,7 @@ def blocks(page: str) -> list[tuple[str, list[str], float, bool]]:
     out: list[tuple[str, list[str], float, bool]] = []
     stack: list[tuple[str, list[str]]] = []
     count: dict[str, int] = {}
+    around: dict[str, int] = {}  # names of PRIOR on all open elements
     text: list[str] = []
     linked = size = 0
     n, at = len(page), 0
@@ -93,7 +96,7 @@ def blocks(page: str) -> list[tuple[str, list[str], float, bool]]:
             words = " ".join("".join(text).split())
             if words:
                 names = list(dict.fromkeys(f for _, own in stack[-DEPTH:] for f in own))
-                names += [f"t:{t}" for t in (*MAIN_TAGS, "nav", "footer", "aside", "form", "header") if count.get(t) and f"t:{t}" not in names]
+                names += [f for f in around if f not in names]
                 inside = any(count.get(t) for t in MAIN_TAGS)
                 out.append((words, names, linked / max(size, 1), inside))
             text.clear()
@@ -101,8 +104,12 @@ def blocks(page: str) -> list[tuple[str, list[str], float, bool]]:
 
     def close(name: str):
         while stack:
-            top, _ = stack.pop()
+            top, own = stack.pop()
             count[top] -= 1
+            for f in KNOWN.intersection(own):
+                around[f] -= 1
+                if not around[f]:
+                    del around[f]
             if top == name:
                 break
 
@@ -156,9 +163,12 @@ def blocks(page: str) -> list[tuple[str, list[str], float, bool]]:
         own = [f"t:{name}"]
         for kind, *values in _ATTRIBUTE.findall(page, m.end(), end):
             prefix = "r:" if kind.lower() == "role" else "c:"
-            own += [prefix + w.lower() for v in values for w in _NAME.findall(v)[:12]]
+            names = [prefix + w.lower() for v in values for w in _NAME.findall(v)]
+            own += names[:NAMES] + [f for f in names[NAMES:] if f in KNOWN]
         stack.append((name, own))
         count[name] = count.get(name, 0) + 1
+        for f in KNOWN.intersection(own):
+            around[f] = around.get(f, 0) + 1
     flush()
     return out
 

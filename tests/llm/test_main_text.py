@@ -84,3 +84,14 @@ def test_cases(spark):
         got = M.extract(df, M.train(pages)).collect()
         assert sorted((r.page_id or 0, r.text == "") for r in got) == [(0, True), (1, True), (2, False), (2, True)]
     assert M.extract(df.limit(0), M.prior()).count() == 0
+
+
+def test_comments_are_known_at_any_depth_and_place_of_their_name():
+    many = " ".join(f"x{chr(97 + i)}" for i in range(20))
+    deep = "<div class=comments>" + "<div class=y><section>" * 40 + "<p>A reader says this.</p>" + "</section></div>" * 40 + "</div>"
+    late = f"<div class='{many} comments'><p>A reader says this.</p></div>"
+    for shape in (deep, late):
+        page = f"<html><body><article><h1>Title of it</h1><p>One plain sentence of the article.</p>{shape}<p>The last sentence of it.</p></article></body></html>"
+        found = M.blocks(page)
+        assert [("c:comments" in names) for text, names, *_ in found] == [text.startswith("A reader") for text, *_ in found]
+        assert "reader" not in M.main_text(page, M.prior())
