@@ -134,15 +134,56 @@ def select_canonical(df: DataFrame) -> DataFrame:
     )
 
 
+#: A key is large if it holds more than one in so many rows; there are fewer such keys than this.
+LARGE_SHARE = 64
+#: Parts that a large key is dealt to if the session does not split it by itself.
+LARGE_PARTS = 64
+
+
+def _splits_by_itself(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return all(
+        str(conf.get(f"spark.sql.adaptive.{name}", "true")).lower() == "true" for name in ("enabled", "skewJoin.enabled"))
+
+
+def _dealt(keyed: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: rows of large keys in parts, and their statistics once for each part.
+
+    The part of a row follows from its place in its group and the partition it comes from, so a
+    task that runs again sends it the same way, and equal rows spread as far as they are stored
+    apart. Fewer than ``LARGE_SHARE`` keys go to the driver. Rows without a key meet no statistics,
+    so they are dealt whatever their number.
+    """
+    total = keyed.agg(F.count(F.lit(1))).first()[0]
+    large = [bytes(r._key) for r in groups.where(F.col("_size") * LARGE_SHARE > total).select("_key").collect()]
+    is_large = F.col("_key").isin(large) if large else F.lit(False)
+    part = F.pmod(F.xxhash64("_prefer", F.spark_partition_id()), F.lit(LARGE_PARTS)).cast("int")
+    copies = F.sequence(F.lit(0), F.when(is_large, F.lit(LARGE_PARTS - 1)).otherwise(F.lit(0)))
+    return (
+        keyed.withColumn("_salt", F.when(is_large | F.col("_dup_key").isNull(), part).otherwise(F.lit(0))),
+        groups.withColumn("_salt", F.explode(copies)),
+    )
+
+
+def grouped_columns(df: DataFrame) -> DataFrame:
+    """An empty table of the columns that ``assign_duplicate_groups`` gives; runs nothing."""
+    return df.limit(0).select(
+        *[c for c in df.columns if c not in _HELPERS],
+        stable_group_id(F.lit("")).alias("duplicate_group_id"),
+        F.lit(True).alias("is_canonical"),
+        F.unhex(F.sha2(F.lit(""), 256)).alias("group_digest"),
+    )
+
+
 def assign_duplicate_groups(df: DataFrame) -> DataFrame:
     """Adds ``duplicate_group_id``, ``is_canonical`` and ``group_digest``; other columns unchanged.
 
     The published id is a short prefix of a digest, so different groups may share one. The full
     ``group_digest`` tells them apart and is for counting; published tables leave it out.
 
-    Runs one job, which writes the statistics of the keys of two rows or more. The input is read
-    for that and again for the rows, so a costly input should be staged before. Without adaptive
-    execution a session does not split large keys; set ``spark.sql.adaptive.enabled``.
+    Runs a job, which writes the statistics of the keys of two rows or more. The input is read
+    for that and again for the rows, so a costly input should be staged before. Adaptive execution
+    splits large keys; in a session without it they are salted, for which the rows are counted.
     """
     keyed = with_group_columns(df)
     groups = stage(_key_statistics(keyed).where(F.col("_size") > 1), "groups")
@@ -151,7 +192,12 @@ def assign_duplicate_groups(df: DataFrame) -> DataFrame:
     key = F.when(grouped, F.col("_dup_key")).otherwise(
         F.concat(F.lit(SINGLETON_KEY), record_id)
     )
-    return keyed.join(groups, "_key", "left").select(
+    if _splits_by_itself(df):
+        joined = keyed.join(groups, "_key", "left")
+    else:
+        rows, statistics = _dealt(keyed, groups)
+        joined = rows.join(statistics, ["_key", "_salt"], "left")
+    return joined.select(
         *[c for c in df.columns if c not in _HELPERS],
         stable_group_id(key).alias("duplicate_group_id"),
         F.when(grouped, record_id == F.col("_kept_id")).otherwise(F.lit(True)).alias("is_canonical"),

@@ -14,7 +14,7 @@ from recordmill.functions.bulletin import bulletin_from_url
 from recordmill.functions.outline import page_outline
 from recordmill.functions.strings import first_non_empty, not_blank, or_blank
 from recordmill.schema import EVENT_COLUMNS, PROJECT_COLUMNS
-from recordmill.staging import stage
+from recordmill.staging import Run, stage
 
 # Labels of the project fields, by priority.
 TITLE_LABEL = "Título"
@@ -210,7 +210,7 @@ _EVENTS_DDL = (
 _OUTCOME_FIELDS = ["http_status", "fetched", "fetch_error", "project", "events", "error"]
 
 
-def latest_versions(extracted: DataFrame) -> DataFrame:
+def latest_versions(extracted: DataFrame, run: Run | None = None) -> DataFrame:
     """One row for each seed and page number; what the operators below expect.
 
     Of a page stored more than once, a fetched version is taken before others, then the one
@@ -218,18 +218,20 @@ def latest_versions(extracted: DataFrame) -> DataFrame:
 
     Runs jobs: the input is written once, and versions are chosen on narrow rows (key, rank,
     place in the written table), so no exchange carries a page's content. Only if a page is
-    stored more than once do the written rows meet the places to be left out.
+    stored more than once do the written rows meet the places to be left out. With a ``run``
+    both tables are named, and finished ones are read, not written.
     """
+    staged = run.stage if run else stage
     rank = F.struct(
         F.col("fetched"), F.size("events").alias("n"), F.col("error"), F.col("http_status"),
         F.xxhash64("events", "project").alias("digest"),
     )
-    placed = stage(
+    placed = staged(
         extracted.select("seed_url", "page_no", *_OUTCOME_FIELDS).withColumns(
             {"_rank": rank, "_place": F.monotonically_increasing_id()}),
         "extracted")
     rows = placed.drop("_rank", "_place")
-    repeated = stage(repeated_pages(placed), "repeated")
+    repeated = staged(repeated_pages(placed), "repeated")
     if repeated.isEmpty():
         return rows
     return placed.join(older_versions(placed, repeated), "_place", "left_anti").select(*rows.columns)

@@ -15,6 +15,7 @@ from recordmill.operators.pages import (
     latest_versions,
 )
 from recordmill.sources import sinks
+from recordmill.staging import Run
 
 
 @dataclass(frozen=True)
@@ -41,15 +42,17 @@ def in_seed_order(report: DataFrame, seeds: DataFrame) -> DataFrame:
 
 def run_pages(
     pages: DataFrame, base_url: str | None = None, scraped_at: Column | None = None,
-    seeds: DataFrame | None = None,
+    seeds: DataFrame | None = None, run: Run | None = None,
 ) -> PageResult:
     """Parse every page once into a staged table, and derive the three outputs from it.
 
     ``seeds(seed_no, seed_url)``, as ``read_seeds`` gives them, puts the report in their order.
+    With a ``run`` the staged tables are named: pages that an earlier run of that name and key
+    has parsed are not parsed again, and keep its ``scraped_at``.
     """
     if seeds is not None:
         pages = seed_pages(seeds, pages)
-    extracted = latest_versions(extract_pages(pages, base_url, scraped_at))
+    extracted = latest_versions(extract_pages(pages, base_url, scraped_at), run)
     report = extract_report(extracted)
     return PageResult(
         projects=extract_projects(extracted),
@@ -66,9 +69,13 @@ def write_pages(result: PageResult, folder: str) -> None:
 
 
 def page_job(
-    pages: DataFrame, folder: str, base_url: str | None = None, seeds: DataFrame | None = None
+    pages: DataFrame, folder: str, base_url: str | None = None, seeds: DataFrame | None = None,
+    run: Run | None = None,
 ) -> PageResult:
-    """From a pages table, and a list of seeds if there is one, to the three written outputs."""
-    result = run_pages(pages, base_url, seeds=seeds)
+    """From a pages table, and a list of seeds if there is one, to the three written outputs.
+
+    Give a ``run`` a key that stands for the pages, the seeds and ``base_url``.
+    """
+    result = run_pages(pages, base_url, seeds=seeds, run=run)
     write_pages(result, folder)
     return result

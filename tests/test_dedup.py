@@ -152,6 +152,53 @@ def test_a_key_on_a_third_of_all_rows_is_split(spark):
     assert sum(sizes) == 20_000 and max(sizes) < 15_000
 
 
+@pytest.fixture
+def without_adaptive_execution(spark):
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_part(df, condition):
+    return max(r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count_if(condition).alias("n"), *[F.max(c) for c in df.columns]).collect())
+
+
+def test_a_key_on_a_third_of_all_rows_is_split_without_adaptive_execution(spark, without_adaptive_execution):
+    ids = spark.range(60_000).select(
+        F.format_string("R%06d", "id").alias("record_id"), F.lit("T").alias("title"),
+        F.when(F.col("id") % 3 == 0, F.lit("https://e.com/hot")).otherwise(F.concat(F.lit("https://e.com/"), F.col("id"))).alias("canonical_url"))
+    whole = assign_duplicate_groups(ids.repartition(8))
+    hot = F.col("canonical_url") == "https://e.com/hot"
+    assert "AdaptiveSparkPlan" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert largest_part(whole, hot) < 6_000  # of 20,000 in 8 partitions
+    kept = whole.where(hot & F.col("is_canonical")).collect()
+    assert whole.count() == 60_000 and [r.record_id for r in kept] == ["R000000"]
+
+
+def test_equal_rows_and_rows_without_a_key_are_split_too(spark, without_adaptive_execution):
+    """A record stored 8,000 times, with a key and without, spreads over the tasks."""
+    same = spark.range(16_000, numPartitions=32).select(
+        F.lit("R1").alias("record_id"), F.lit("T").alias("title"),
+        F.when(F.col("id") % 2 == 0, F.lit("https://e.com")).otherwise(F.lit("")).alias("canonical_url"))
+    whole = assign_duplicate_groups(same)
+    for url, group in (("https://e.com", gid("url:https://e.com")), ("", gid("singleton:R1"))):
+        assert largest_part(whole, F.col("canonical_url") == url) < 4_000
+        assert [r.duplicate_group_id for r in whole.where(F.col("canonical_url") == url).select("duplicate_group_id").distinct().collect()] == [group]
+    assert whole.where("is_canonical").count() == 16_000
+
+
+@pytest.mark.parametrize("share", [2, 64, 100_000])  # no key, some keys and all groups are large
+def test_salted_keys_give_the_same_groups(spark, without_adaptive_execution, monkeypatch, share):
+    monkeypatch.setattr(dedup, "LARGE_SHARE", share)
+    rows = random_rows(500, seed=11)
+    assert got(assign_duplicate_groups(frame(spark, rows).repartition(5))) == brute_force(rows)
+    assert got(assign_duplicate_groups(frame(spark, []))) == []
+
+
 def test_partitions_and_row_order_do_not_matter(spark):
     rows = random_rows(400, seed=8)
     want = brute_force(rows)
