@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from recordmill.llm import decontamination as D
 from recordmill.llm import tokens as T
@@ -157,3 +158,34 @@ def test_longest_window():
     assert D.window(np.array([1, 0, 0, 1, 1, 1, 0, 1, 0, 0], bool)) == (3, 8)
     assert D.window(np.array([1, 1, 0, 1, 1, 1, 1, 0, 1, 1], bool)) == (0, 10)
     assert D.window(np.zeros(4, bool)) == (0, 0)
+
+
+@pytest.mark.parametrize("bits", [26, 8])
+def test_joined_seeds_give_the_same(spark, sf_dir, monkeypatch, bits):
+    """A test set too large to send out: the same rows, also if the bit table lets nearly all seeds through."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 1500").withColumn("_key", F.lit(7))
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    docs = docs.unionByName(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").unionByName(
+        spark.createDataFrame([*ITEMS, (None, "an item that has no name of its own but ten words")], "item_id long, text string"))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit("see an item that has no name of its own but nine words")))
+    want = sorted(map(tuple, D.overlaps(docs, items).collect()), key=repr)
+    kept = sorted(map(tuple, D.drop_contaminated(docs, items).collect()), key=repr)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 0)
+    monkeypatch.setattr(D, "FILTER_BITS", bits)
+    joined = D.drop_contaminated(docs, items)
+    assert sorted(map(tuple, D.overlaps(docs, items).collect()), key=repr) == want
+    assert joined.columns == docs.columns and sorted(map(tuple, joined.collect()), key=repr) == kept
+    assert want and any(r[1] is None for r in want)
+
+
+def test_a_long_document_with_many_candidates_streams(spark, monkeypatch):
+    """More candidates than a batch holds, of one document, and several shifts of one pair."""
+    monkeypatch.setattr(D, "BLOCK_BYTES", 0)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(15))) for i in range(1500)]
+    text = " ".join(t for _, t in items) + " between " + items[7][1].replace("w7x3 ", "other ")
+    got = D.overlaps(
+        spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(r.item_id for r in got) == list(range(1500))
+    assert all(r.doc_id == 1 and r.n_equal == 15 and r.doc_start == 15 * r.item_id for r in got)
