@@ -295,3 +295,29 @@ def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not v or any(x is None for x in v) or not np.isfinite(v).all() or not any(v):
                 ids.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["vec_id"])
+
+
+#: The same rows by comparing all pairs, for DuckDB.
+ORACLE = """
+WITH RECURSIVE numbered AS MATERIALIZED (
+    SELECT row_number() OVER () AS n, CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS MATERIALIZED (
+    SELECT n, v FROM numbered
+    WHERE list_count(v) = len(v) AND isfinite(list_sum(v)) AND greatest(list_max(v), -list_min(v)) > 0
+), good AS MATERIALIZED (
+    SELECT n, v, len(v) AS dim, sqrt(list_inner_product(v, v)) AS norm FROM usable
+), link AS MATERIALIZED (
+    SELECT a.n AS x, b.n AS y FROM good a JOIN good b ON a.dim = b.dim AND a.n <> b.n
+    WHERE CASE WHEN a.dim = b.dim THEN list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.9 END
+), reach AS (
+    SELECT n AS x, n AS y FROM numbered
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
+), named AS (
+    SELECT r.x AS n, min(o.vec_id) AS component_id FROM reach r JOIN numbered o ON o.n = r.y GROUP BY r.x
+), counted AS (
+    SELECT x AS n, count(*) AS n_links FROM link GROUP BY x
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM numbered JOIN named USING (n) LEFT JOIN counted USING (n)
+"""

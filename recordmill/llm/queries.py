@@ -112,6 +112,7 @@ QUERIES = {
 
 #: DuckDB SQL for those that SQL can express.
 ORACLE: dict[str, str] = {
+    "op1_embedding_near_dedup": embeddings.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }

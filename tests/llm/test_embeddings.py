@@ -1,5 +1,6 @@
 """Epsilon grid order join against the comparison of all pairs."""
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -69,3 +70,22 @@ def test_whole_table(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     assert result(df) == brute(rows)
+
+
+def test_sql_gives_the_same_rows(spark, sf_dir):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    rows = con.sql(E.ORACLE)
+    assert rows.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(rows.fetchall(), key=repr) == result(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def test_sql_on_rows_that_link_with_nothing(spark):
+    rows = [(1, "[1.0, 0.0]"), (1, "[2.0, 0.0]"), (None, "[1.0, 0.1]"), (4, "[0.0, 0.0]"), (5, "[]"), (6, "NULL"),
+            (7, "[1.0, NULL]"), (8, "[1.0, 'nan'::FLOAT]"), (9, "[1.0]"), (None, "[0.0, 1.0]")]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    for i, v in rows:
+        con.sql(f"INSERT INTO embeddings VALUES ({'NULL' if i is None else i}, {v})")
+    given = [(i, v, 0) for i, v in con.sql("FROM embeddings").fetchall()]
+    assert sorted(con.sql(E.ORACLE).fetchall(), key=repr) == result(spark.createDataFrame(given, SCHEMA)) == brute(given)
