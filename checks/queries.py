@@ -435,12 +435,20 @@ def record_job_report(spark, sf):
 _SCRAPED = "2024-01-01T00:00:00+00:00"
 
 
-def _outlined(spark, sf):
-    labels = [*pages.LABELS, "ESTADO"]
-    stored = pages.outline_pages(seed_pages(spark, sf), labels=labels).where(F.col("fetched"))
+def _outlined(spark, sf, labels=(), **facts):
+    """Outlines of the fetched pages: the project with these labels, or the events."""
+    stored = pages.outline_pages(seed_pages(spark, sf), labels=list(labels), **facts).where(F.col("fetched"))
     return stored.where(F.col("version") == 1)
 
 
+def _projects(spark, sf, labels=()):
+    return _outlined(spark, sf, labels, events=F.lit(False))
+
+
+def _events(spark, sf):
+    return _outlined(spark, sf, project=F.lit(False))
+
+
 def _extracted(spark, sf):
     extracted = pages.extract_pages(seed_pages(spark, sf), scraped_at=F.lit(_SCRAPED))
     return pages.latest_versions(extracted)
@@ -474,13 +482,13 @@ def extract_web_pages(spark, sf):
 
 @register(expected("SELECT seed_url, page_no, title AS value FROM facts WHERE NOT broken"))
 def project_title(spark, sf):
-    return _outlined(spark, sf).select(
+    return _projects(spark, sf, [pages.TITLE_LABEL]).select(
         "seed_url", "page_no", pages.project_title(_page()).alias("value"))
 
 
 @register(expected("SELECT seed_url, page_no, detail_url AS value FROM facts WHERE NOT broken"))
 def project_detail_url(spark, sf):
-    return _outlined(spark, sf).select(
+    return _projects(spark, sf).select(
         "seed_url", "page_no",
         pages.project_detail_url(_page(), F.col("seed_url")).alias("value"))
 
@@ -491,7 +499,7 @@ def project_detail_url(spark, sf):
     "FROM facts WHERE NOT broken"
 ))
 def label_value(spark, sf):
-    return _outlined(spark, sf).select(
+    return _projects(spark, sf, ["ESTADO", "Autores"]).select(
         "seed_url", "page_no",
         pages.label_value(_page(), "ESTADO").alias("estado"),
         pages.label_value(_page(), "Autores").alias("autores"))
@@ -501,7 +509,8 @@ def label_value(spark, sf):
     "SELECT seed_url, page_no, legislature, entry_date, status, initiative, origin_chamber "
     "FROM facts WHERE NOT broken"))
 def project_fields(spark, sf):
-    return _outlined(spark, sf).select(
+    labels = [label for names in pages.FIELD_LABELS.values() for label in names]
+    return _projects(spark, sf, labels).select(
         "seed_url", "page_no",
         *[c.alias(n) for n, c in pages.project_fields(_page()).items()])
 
@@ -510,7 +519,7 @@ def project_fields(spark, sf):
     "SELECT seed_url, page_no, coalesce(array_to_string(authors, '/'), '') AS value "
     "FROM facts WHERE NOT broken"))
 def project_authors(spark, sf):
-    return _outlined(spark, sf).select(
+    return _projects(spark, sf, pages.AUTHOR_LABELS).select(
         "seed_url", "page_no", F.array_join(pages.project_authors(_page()), "/").alias("value"))
 
 
@@ -518,7 +527,7 @@ def project_authors(spark, sf):
     "SELECT seed_url, page_no, CASE WHEN dated > 0 THEN tables_before "
     "WHEN c % 5 = 0 THEN tables_before + 1 END AS value FROM facts WHERE NOT broken"))
 def pick_event_table(spark, sf):
-    return _outlined(spark, sf).select("seed_url", "page_no", F.col("event_table").alias("value"))
+    return _events(spark, sf).select("seed_url", "page_no", F.col("event_table").alias("value"))
 
 
 @register(expected(
@@ -528,7 +537,7 @@ def pick_event_table(spark, sf):
 def event_row_filter(spark, sf):
     """Data rows of the chosen table; none without one."""
     rows = pages.event_row_filter(pages.table_rows(_page(), F.col("event_table")))
-    return _outlined(spark, sf).select(
+    return _events(spark, sf).select(
         "seed_url", "page_no",
         F.when(F.col("event_table").isNull(), 0).otherwise(F.size(rows)).cast("bigint").alias("data_rows"))
 
@@ -539,7 +548,7 @@ _EVENT_VALUES = [c for c in EVENT_COLUMNS if c not in ("seed_url", "bulletin_num
 @register(expected(f"SELECT seed_url, page_no, {_sql(_EVENT_VALUES)} FROM all_events"))
 def event_columns(spark, sf):
     candidates = pages.event_candidates(_page(), F.col("event_table"))
-    return _outlined(spark, sf).select(
+    return _events(spark, sf).select(
         "seed_url", "page_no", F.inline(candidates)
     ).select("seed_url", "page_no", *_EVENT_VALUES)
 

@@ -123,8 +123,12 @@ def seed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some seeds have a first page that was not fetched, with or without a body, some none at
     all, and some a second version of it, which was not fetched.
+
+    Pages are dealt out in as many partitions as a shuffle has: by the bytes of their rows they
+    would be put into few, one for each core and a rest, but reading a page takes long for its bytes.
     """
-    orders = page_orders(spark, sf_dir)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = page_orders(spark, sf_dir).repartition(partitions, "c", "page_no")
     rows = spark.sql(
         "SELECT c, page_no, string_agg(html, '') WITHIN GROUP (ORDER BY o) AS rows FROM "
         f"(SELECT *, {_ROW_HTML} AS html FROM {{orders}}) GROUP BY c, page_no",

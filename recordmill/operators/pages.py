@@ -131,21 +131,22 @@ LABELS = [TITLE_LABEL, *(x for names in FIELD_LABELS.values() for x in names), *
 
 def outline_pages(
     pages: DataFrame, base_url: str | None = None, labels: list[str] | None = None,
-    project: Column | None = None,
+    project: Column | None = None, events: Column | None = None,
 ) -> DataFrame:
     """Adds ``outline``, ``fetched`` and ``event_table``; pages that were not fetched get no outline.
 
     A page is fetched if it has HTML, no error, and no status of 400 or more. A null page number
     counts as 1. Links are resolved against ``base_url``, by default the seed's own site.
     ``labels`` are those that ``label_value`` will be asked for, by default the project's;
-    ``project`` tells the pages whose project is wanted, by default all.
+    ``project`` and ``events`` tell the pages whose project or events are wanted, by default all;
+    without events there is no event table.
     """
     fetched = (
         F.col("html").isNotNull() & F.col("fetch_error").isNull()
         & (F.coalesce("http_status", F.lit(0)) < 400)
     )
     base = F.col("seed_url") if base_url is None else F.lit(base_url)
-    outline = page_outline(F.when(F.col("fetched"), F.col("html")), base, LABELS if labels is None else labels, project)
+    outline = page_outline(F.when(F.col("fetched"), F.col("html")), base, LABELS if labels is None else labels, project, events)
     return (
         pages.withColumn("page_no", F.coalesce("page_no", F.lit(1))).withColumn("fetched", fetched)
         .withColumn("outline", outline)

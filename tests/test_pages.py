@@ -317,3 +317,29 @@ def test_later_pages_are_not_searched_for_a_project(spark):
     first, second = pages.extract_pages(df).orderBy("page_no").collect()
     assert first.project.title == "t" and second.project is None
     assert len(first.events) == len(second.events) == 1
+
+
+def test_facts_that_are_not_asked_for_are_not_searched(spark):
+    html = "<h1>t</h1><td>Estado</td><td>x</td>" + table(("01/01/2020", "a"))
+    df = frame(spark, html)
+    project = pages.outline_pages(df, events=F.lit(False)).first()
+    whole = pages.outline_pages(df).first()
+    assert (project.outline.tables, project.outline.rows, project.outline.words, project.event_table) == (None,) * 4
+    assert project.outline.headings == whole.outline.headings and project.outline.labels == whole.outline.labels
+    assert whole.event_table == 0 and len(whole.outline.rows) == 1
+    assert pages.outline_pages(df, labels=[], events=F.lit(False)).first().outline.labels == []
+
+
+def test_pages_are_read_in_many_tasks(spark, sf_dir):
+    """Their rows are few bytes for the work they take: dealt out by bytes, a core would get one task and a last core two."""
+    from checks.seed_pages import seed_pages as built_pages
+
+    setting = "spark.sql.autoBroadcastJoinThreshold"  # the small tables here as large ones are joined
+    given = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        built = built_pages(spark, sf_dir).where("version = 1")
+        parts = built.groupBy(F.spark_partition_id().alias("part")).agg(F.max("html")).collect()
+        assert len(parts) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set(setting, given)
