@@ -343,3 +343,40 @@ def test_pages_are_read_in_many_tasks(spark, sf_dir):
         assert len(parts) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.set(setting, given)
+
+
+def test_plain_tags_take_no_pattern_and_attributes_are_read_when_asked_for(monkeypatch):
+    """A tag that is only a name is looked up; of the attributes only those of the elements a rule names are read."""
+    from recordmill.functions import outline
+
+    class Counted:
+        def __init__(self, found):
+            self.found, self.calls = found, 0
+
+        def match(self, *given):
+            return self(*given)
+
+        def __call__(self, *given):
+            self.calls += 1
+            return self.found(*given)
+
+    pattern, attributes = Counted(outline._TEXT_AND_TAG.match), Counted(outline._attributes)
+    monkeypatch.setattr(outline, "_TEXT_AND_TAG", pattern)
+    monkeypatch.setattr(outline, "_attributes", attributes)
+    row = '<tr><td class="d">01/01/2020</td><td>x</td><td><b id="k"><a href="/d">y</a></b></td></tr>'
+    facts = outline._outline(f"<html><title>t</title><table>{row * 10}</table></html>", "https://h.example", [], False, True)
+    assert facts["tables"] == [{"first": 0, "rows": 10, "dated": 10}] and facts["rows"][9]["link"] == "https://h.example/d"
+    assert pattern.calls == 30  # class, id, href
+    assert attributes.calls == 10  # href
+
+
+def test_an_attribute_that_cannot_be_read_is_the_error_of_its_page():
+    html = f'<table><tr><td title="&#{"9" * 5000};">01/01/2020</td><td>x</td></tr></table>'
+    for project, events in ((True, True), (True, False), (False, True)):
+        assert "integer string conversion" in _outline_with(html, project, events)["error"]
+
+
+def _outline_with(html, project, events):
+    from recordmill.functions import outline
+
+    return outline._outline(html, "https://h.example", [], project, events)
