@@ -380,3 +380,32 @@ def _outline_with(html, project, events):
     from recordmill.functions import outline
 
     return outline._outline(html, "https://h.example", [], project, events)
+
+
+def test_a_declaration_does_not_slow_the_page_down(monkeypatch):
+    """Text, comments and tags are found one by one only where the usual way does not do."""
+    from recordmill.functions import outline
+
+    calls = []
+    one_by_one = outline._Page._next_tag
+    monkeypatch.setattr(outline._Page, "_next_tag", lambda self, *args: calls.append(args) or one_by_one(self, *args))
+    page = outline._Page("a<!DOCTYPE html>b<?xml x?><p>c<style><!x></style></p>d")
+    assert (page.text_nodes, page.tags, calls) == (["a", "b", "c", "d"], ["p", "style"], [])
+    page = outline._Page("a<!-- <b> > -->b<!>c")
+    assert (page.text_nodes, page.tags, len(calls)) == (["a", "b", "c"], [], 1)
+
+
+@pytest.mark.parametrize("base", ["https://h.example", "http://h.example:80/p/q?x", "", "mailto:a@b", "//h/x", "https://", "https://[bad"])
+def test_links_from_the_root_are_resolved_as_all_others(monkeypatch, base):
+    from recordmill.functions import outline
+
+    links = ["/doc/1", "/doc/1/", "/d.pdf?k=1&l=%20", "/a.b-c/_d", "/", "/./a", "/a/../b", "/.a", "//o/p", "/a//b", "/a?", "/a;p", "/a#f", "/é", "d", "?q", ""]
+    got = [outline._resolved(base, link) for link in links]
+    assert outline._ROOT_PATH.fullmatch("/doc/1") and not outline._ROOT_PATH.fullmatch("/a/../b")
+    joined, calls = outline.urljoin, []
+    monkeypatch.setattr(outline, "urljoin", lambda *args: calls.append(args) or joined(*args))
+    if not base.endswith("[bad"):
+        outline._resolved(base, "/doc/1")
+        assert calls == []
+    monkeypatch.setattr(outline, "_ROOT_PATH", outline.re.compile("(?!)"))
+    assert got == [outline._resolved(base, link) for link in links]
