@@ -103,3 +103,20 @@ def test_rows_of_every_shape_pass_all_stages(spark, tmp_path):
                 if name != "packing":
                     assert frame.columns == docs.columns
         assert (frame.count() > 0) == (given is docs)
+
+
+def test_passages_with_many_changed_words_are_cut(spark):
+    """Of 60 words nine are changed: only few runs of five words are left, none of which may be passed over."""
+    rng = np.random.default_rng(19)
+    words = lambda n: [f"w{int(i)}" for i in rng.integers(0, 5000, n)]
+    rows = []
+    for d in range(100):
+        passage = words(60)
+        other = list(passage)
+        for at in rng.choice(60, 9, replace=False):
+            other[at] = f"changed{int(rng.integers(1 << 40))}"
+        rows += [(2 * d, " ".join(words(40) + passage)), (2 * d + 1, " ".join(other + words(40)))]
+    docs = spark.createDataFrame([(d, t, len(t)) for d, t in rows], "doc_id long, text string, n_chars long")
+    left = {r.doc_id: r.text for r in pipeline.cut_repeated_passages(spark, docs, "").collect()}
+    cut = [d for d, t in rows if left[d] != t]
+    assert all(d % 2 for d in cut) and len(cut) >= 90
