@@ -409,3 +409,11 @@ def test_links_from_the_root_are_resolved_as_all_others(monkeypatch, base):
         assert calls == []
     monkeypatch.setattr(outline, "_ROOT_PATH", outline.re.compile("(?!)"))
     assert got == [outline._resolved(base, link) for link in links]
+
+
+def test_labels_do_not_travel_with_each_page(spark):
+    df = spark.createDataFrame([("https://h.example/", 1, 200, "<td>Estado<td>x", None)], "seed_url string, page_no int, http_status int, html string, fetch_error string")
+    outlined = pages.outline_pages(df, labels=["ESTADO", "Autores"])
+    plan = outlined._jdf.queryExecution().analyzed().toString()
+    assert "estado" not in plan and "autores" not in plan
+    assert outlined.select(pages.label_value(outlined.outline, "ESTADO")).first()[0] == "x"
